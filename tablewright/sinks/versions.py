@@ -1,0 +1,150 @@
+"""Tables that change by key: hash buckets, of which a change rewrites the touched.
+
+Parquet has no update, and a table must not be overwritten while it is read. A
+change therefore writes new files for the buckets it touches, and then commits
+a list of the directories that make up the table. Readers see the list that was
+committed last; a failed or repeated change leaves nothing behind that they see.
+One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablewright.operators.upsert import upsert
+from tablewright.session import stage as staged
+
+BUCKET = "_bucket"
+_LOG_SCHEMA = "bucket int, path string, buckets int, batch long"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the last committed version; 0 when there is none."""
+    log, system = _filesystem(spark, f"{root}/log")
+    if not system.exists(log):
+        return 0
+    versions = [0]
+    for status in system.listStatus(log):
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if status.getPath().getName().isdigit() and system.exists(done):
+            versions.append(int(status.getPath().getName()))
+    return max(versions)
+
+
+def _entries(spark: SparkSession, root: str, version: int) -> list:
+    """The committed directories: at most one per bucket."""
+    return spark.read.schema(_LOG_SCHEMA).json(f"{root}/log/{version}").collect() if version else []
+
+
+def last_batch(spark: SparkSession, root: str) -> int:
+    """Highest stream batch worked into the table; -1 when there is none."""
+    entries = _entries(spark, root, current_version(spark, root))
+    return max([e.batch for e in entries if e.batch is not None], default=-1)
+
+
+def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table as last committed."""
+    entries = _entries(spark, root, current_version(spark, root))
+    return _read(spark, entries, schema)
+
+
+def _read(spark: SparkSession, entries: list, schema: T.StructType | None) -> DataFrame:
+    if not entries:
+        if schema is None:
+            raise ValueError("the table has not been written yet")
+        return spark.createDataFrame([], schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*[e.path for e in entries])
+
+
+def _bucket_of(df: DataFrame, pk: Sequence[str], buckets: int) -> Column:
+    """Bucket by key; rows without a full key match nothing and may go anywhere."""
+    full = F.concat(*[F.when(F.col(f"`{k}`").isNull(), F.lit(None)).otherwise(F.lit("")) for k in pk])
+    anywhere = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"])
+    hashed = F.when(full.isNull(), anywhere).otherwise(F.xxhash64(*[F.col(f"`{k}`") for k in pk]))
+    return F.pmod(hashed, F.lit(buckets)).cast("int")
+
+
+def _write_version(
+    df: DataFrame, root: str, version: int, pk: Sequence[str], buckets: int, kept: list, batch: int | None
+) -> None:
+    """Write the rows of a version and commit it together with the kept buckets."""
+    spark = df.sparkSession
+    data = f"{root}/data/v={version}"
+    # Adaptive execution brings each bucket together in files of its target size
+    # and splits buckets that are large.
+    balanced = df.withColumn(BUCKET, _bucket_of(df, pk, buckets)).hint("rebalance", BUCKET)
+    balanced.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+    path, system = _filesystem(spark, data)
+    written = [
+        (int(s.getPath().getName().split("=")[1]), s.getPath().toString(), buckets, batch)
+        for s in system.listStatus(path)
+        if s.getPath().getName().startswith(f"{BUCKET}=")
+    ]
+    rows = written + [(e.bucket, e.path, e.buckets, e.batch) for e in kept]
+    log = spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
+    log.write.mode("overwrite").json(f"{root}/log/{version}")
+
+
+def publish(df: DataFrame, root: str, pk: Sequence[str], buckets: int = 16) -> None:
+    """Replace the table. It may be read in ``df``: its files are left alone."""
+    version = current_version(df.sparkSession, root) + 1
+    _write_version(df, root, version, pk, buckets, [], None)
+
+
+def change_buckets(
+    root: str,
+    stage: DataFrame,
+    pk: Sequence[str],
+    change: Callable[[DataFrame, DataFrame], DataFrame],
+    schema: T.StructType,
+    buckets: int = 16,
+    batch: int | None = None,
+) -> bool:
+    """Rewrite the buckets that hold a key of the stage.
+
+    ``change`` gets the rows of those buckets and the stage, and returns the new
+    rows of the buckets. With a ``batch`` number, a batch that is already in the
+    table is left out. Returns whether there was a change.
+    """
+    spark = stage.sparkSession
+    version = current_version(spark, root)
+    entries = _entries(spark, root, version)
+    if batch is not None and batch <= max([e.batch for e in entries if e.batch is not None], default=-1):
+        return False
+    buckets = entries[0].buckets if entries else buckets
+    touched = {
+        row[0] for row in stage.select(_bucket_of(stage, pk, buckets)).distinct().collect()
+    }  # at most one row per bucket
+    if not touched:
+        return False
+    state = _read(spark, [e for e in entries if e.bucket in touched], schema)
+    kept = [e for e in entries if e.bucket not in touched]
+    _write_version(change(state, stage), root, version + 1, pk, buckets, kept, batch)
+    return True
+
+
+def publish_upsert(
+    root: str,
+    stage: DataFrame,
+    pk: Sequence[str],
+    run_ts: str | datetime,
+    schema: T.StructType,
+    buckets: int = 16,
+    batch: int | None = None,
+) -> bool:
+    """Insert and update the rows of the stage in the table, bucket by bucket."""
+    rows = staged(stage, "upsert")
+    return change_buckets(
+        root, rows, pk, lambda state, new: upsert(state, new, pk, run_ts), schema, buckets, batch
+    )
