@@ -72,11 +72,14 @@ def reshape_records(
     """
     columns = {c: as_array(c) for c in records}
     for outer, names in (inside or {}).items():
-        columns[outer] = F.transform(outer, lambda e, names=names: _with_arrays(e, names))
+        columns[outer] = F.transform(outer, _element_change(names))
     return df.withColumns(columns)
 
 
-def _with_arrays(element: Column, names: Sequence[str]) -> Column:
-    for name in names:
-        element = element.withField(name, as_array(element[name]))
-    return element
+def _element_change(names: Sequence[str]):
+    def change(element: Column) -> Column:
+        for name in names:
+            element = element.withField(name, as_array(element[name]))
+        return element
+
+    return change
