@@ -8,7 +8,7 @@ from tablewright.catalog.base import AS_OF, RUN_TS, query
 from tablewright.operators.filters import apply_where
 from tablewright.operators.joins import anti_join, apply_joins, tracked_rows
 from tablewright.operators.projection import project
-from tablewright.plans.delta import delta_bounds, delta_filter
+from tablewright.plans.delta import before, delta_bounds, delta_filter
 from tablewright.plans.loads import mapped_rows, run_load, type1_full
 from tablewright.plans.config import mapping_from_config
 from tablewright.plans.mapping import Condition, Delta, Disposition, Field, Join, Mapping
@@ -480,9 +480,10 @@ def join_anti(spark, documents, labels):
     """,
 )
 def join_semi_tracked(spark, orders):
-    cutoff = F.lit("2000-01-01").cast("timestamp_ntz")
-    recent = orders.where(F.col("o_orderdate") >= cutoff)
-    earlier = orders.where(F.col("o_orderdate") < cutoff)
+    """Earlier rows of the keys that an extraction window touches."""
+    lo, hi = delta_bounds("timestamp_ntz'2000-01-01 00:00:00'", None, AS_OF)
+    recent = delta_filter(orders, "o_orderdate", lo, hi)
+    earlier = before(orders, "o_orderdate", lo)
     return tracked_rows(earlier, recent, ["o_custkey"]).select("o_orderkey", "o_custkey", "o_orderdate")
 
 

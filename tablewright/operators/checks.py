@@ -65,22 +65,19 @@ def new_values(
 ) -> DataFrame:
     """Values seen after the day before the last date, but never up to that day.
 
-    Dates from ``now`` on do not count for the last date. One pass per value: its
-    first and last day are aggregated before the shuffle. The boundary is one
-    row by construction.
+    Dates from ``now`` on do not count for the last date. First and last day of a
+    value are aggregated before the shuffle; the boundary is a scalar subquery.
     """
     dated = df.select(F.expr(check_field).alias("value"), F.expr(date_field).alias("at"))
-    boundary = dated.where(F.col("at") < ntz(now)).agg(
-        F.to_date(F.max("at") - F.expr("interval 1 day")).alias("boundary")
-    )
+    last = dated.where(F.col("at") < ntz(now)).agg(F.to_date(F.max("at") - F.expr("interval 1 day")))
+    boundary = last.scalar()
     span = (
         dated.where(F.col("at").isNotNull())
         .groupBy("value")
         .agg(F.to_date(F.min("at")).alias("first"), F.to_date(F.max("at")).alias("last"))
     )
-    recent = F.col("last") > F.col("boundary")
-    unseen = F.col("value").isNull() | (F.col("first") > F.col("boundary"))
-    return span.crossJoin(F.broadcast(boundary)).where(recent & unseen).select("value", "first")
+    unseen = F.col("value").isNull() | (F.col("first") > boundary)
+    return span.where((F.col("last") > boundary) & unseen).select("value", "first")
 
 
 def check_new_value(

@@ -29,18 +29,15 @@ def previous(column: str) -> str:
 
 
 def _previous_values(
-    df: DataFrame, partition: Sequence[str], order: Sequence[OrderKey], driving: Sequence[str], segment=None
+    df: DataFrame, partition: Sequence[str], order: Sequence[OrderKey], driving: Sequence[str]
 ) -> DataFrame:
-    values = {previous(c): F.col(f"`{c}`") for c in driving}
-    return neighbours(df, partition, order, values, -1, segment=segment)
+    return neighbours(df, partition, order, {previous(c): F.col(f"`{c}`") for c in driving}, -1)
 
 
 def history_stage(df: DataFrame, history: History, rows_per_task: int | None = None) -> DataFrame:
     """Mapped rows with the previous value of every driving column, ``prev_<name>``."""
     parts = spread_hot_keys(df, history.partition, history.order, rows_per_task)
-    return union_parts(
-        [_previous_values(p, history.partition, history.order, history.driving, s) for p, s in parts]
-    )
+    return union_parts([_previous_values(p, by, history.order, history.driving) for p, by in parts])
 
 
 def cdc_filter(df: DataFrame, driving: Sequence[str], keep_previous: bool = False) -> DataFrame:
@@ -54,12 +51,10 @@ def cdc_filter(df: DataFrame, driving: Sequence[str], keep_previous: bool = Fals
     return kept if keep_previous else kept.drop(*[previous(c) for c in driving])
 
 
-def _closed(
-    df: DataFrame, partition: Sequence[str], order: Sequence[OrderKey], segment: str | None = None
-) -> DataFrame:
+def _closed(df: DataFrame, partition: Sequence[str], order: Sequence[OrderKey]) -> DataFrame:
     until = F.lit(HIGH_DATE).cast(df.schema[EFFECTIVE_FROM].dataType)
     begins = {EFFECTIVE_TO: F.col(EFFECTIVE_FROM)}
-    closed = neighbours(df, partition, order, begins, 1, until, segment)
+    closed = neighbours(df, partition, order, begins, 1, until)
     names = [c for c in closed.columns if c != EFFECTIVE_TO]
     at = names.index(EFFECTIVE_SEQ) + 1 if EFFECTIVE_SEQ in names else len(names)
     return closed.select(*[F.col(f"`{c}`") for c in (*names[:at], EFFECTIVE_TO, *names[at:])])
@@ -74,7 +69,7 @@ def close_intervals(
     """Set ``effective_to_dt`` to where the key's next row begins, else to the high date."""
     df = df.drop(EFFECTIVE_TO)
     parts = spread_hot_keys(df, partition, order, rows_per_task)
-    return union_parts([_closed(p, partition, order, s) for p, s in parts])
+    return union_parts([_closed(p, by, order) for p, by in parts])
 
 
 def build_history(df: DataFrame, history: History, rows_per_task: int | None = None) -> DataFrame:
@@ -86,11 +81,10 @@ def build_history(df: DataFrame, history: History, rows_per_task: int | None = N
     df = df.drop(EFFECTIVE_TO)
     order, partition = tuple(history.order), history.partition
     parts = []
-    for part, segment in spread_hot_keys(df, partition, order, rows_per_task):
-        lagged = _previous_values(part, partition, order, history.driving, segment)
-        changed = cdc_filter(lagged, history.driving)
+    for part, by in spread_hot_keys(df, partition, order, rows_per_task):
+        changed = cdc_filter(_previous_values(part, by, order, history.driving), history.driving)
         if order == EFFECTIVE_ORDER:
-            changed = _closed(changed, partition, order, segment)
+            changed = _closed(changed, by, order)
         parts.append(changed)
     done = union_parts(parts)
     if order != EFFECTIVE_ORDER:

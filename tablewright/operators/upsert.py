@@ -25,7 +25,7 @@ NEW, EXISTING = 1, 2
 _SPREAD = "_spread"
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(operator.or_, [F.col(f"`{k}`").isNull() for k in keys])
 
 
@@ -35,7 +35,7 @@ def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     They have no partner to meet, and would all be shuffled to one task.
     """
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
-    return df.withColumn(_SPREAD, F.when(_any_null(keys), F.xxhash64(*plain)).otherwise(F.lit(0)))
+    return df.withColumn(_SPREAD, F.when(any_null(keys), F.xxhash64(*plain)).otherwise(F.lit(0)))
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
@@ -49,7 +49,7 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     message = F.concat(
         F.lit(f"{what} has more than one row for key "), F.to_json(F.struct(*columns))
     )
-    repeated = (F.row_number().over(window) > 1) & ~_any_null(keys)
+    repeated = (F.row_number().over(window) > 1) & ~any_null(keys)
     checked = F.when(repeated, F.raise_error(message).cast("int")).otherwise(F.lit(1))
     return keyed.withColumn("_unique", checked)
 

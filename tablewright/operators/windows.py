@@ -9,7 +9,6 @@ one row per (key, segment). All other keys take the ordinary window.
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping as Columns
 from collections.abc import Sequence
 from functools import reduce
@@ -17,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.sizing import null_safe_on
+from tablewright.operators.sizing import broadcast_if_small, null_safe_on
 from tablewright.plans.mapping import OrderKey
 from tablewright.session import stage
 
@@ -28,7 +27,7 @@ ROWS_PER_TASK = 4_000_000
 #: table to keep to it, so the broadcast list of hot keys is bounded.
 MAX_HOT_KEYS = 20_000
 
-SEGMENT = "_segment"
+KEY, SEGMENT = "_key", "_segment"
 
 
 def sort_columns(order: Sequence[OrderKey | str], reverse: bool = False) -> list[Column]:
@@ -55,8 +54,9 @@ def hot_keys(
     limit = max(rows_per_task, (total or 0) // MAX_HOT_KEYS)
     if (largest or 0) <= limit:
         return None, 0
-    hot = stage(counts.where(F.col("_rows") > limit), "hot-keys")
-    return hot.select(*partition), hot.agg(F.sum("_rows")).first()[0]
+    hot = counts.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
+    hot = stage(hot, "hot-keys")
+    return hot.select(*partition, KEY), hot.agg(F.sum("_rows")).first()[0]
 
 
 def spread_hot_keys(
@@ -64,61 +64,56 @@ def spread_hot_keys(
     partition: Sequence[str],
     order: Sequence[OrderKey | str],
     rows_per_task: int | None = None,
-) -> list[tuple[DataFrame, str | None]]:
-    """Split ``df`` into parts to run a window over, each with its segment column.
+) -> list[tuple[DataFrame, list[str]]]:
+    """Split ``df`` into parts, each with the columns to partition a window by.
 
-    Without hot keys this is ``df`` itself. Otherwise the second part holds the
-    hot keys, cut into segments that follow ``order``: every segment holds a
-    contiguous run of a key. The part is staged, so that the cut is the same for
-    all that is computed from it.
+    Without hot keys this is ``df`` and ``partition``. Otherwise the second part
+    holds the hot keys, numbered, and cut into segments that follow ``order``:
+    every segment holds a contiguous run of a key. The part is staged, so that
+    the cut is the same for all that is computed from it.
     """
     limit = rows_per_task or ROWS_PER_TASK
     keys, hot_rows = hot_keys(df, partition, limit)
     if keys is None:
-        return [(df, None)]
-    rows, listed = df.alias("rows"), F.broadcast(keys).alias("hot")
+        return [(df, list(partition))]
+    rows, listed = df.alias("rows"), broadcast_if_small(keys).alias("hot")
     on = null_safe_on("rows", "hot", partition)
     cold = rows.join(listed, on, "left_anti")
-    hot = rows.join(listed, on, "left_semi")
     segments = max(2, -(-hot_rows // limit))
-    hot = hot.repartitionByRange(segments, *[F.col(f"`{p}`") for p in partition], *sort_columns(order))
-    return [(cold, None), (stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments"), SEGMENT)]
+    hot = rows.join(listed, on).select("rows.*", KEY)
+    hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order))
+    hot = stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments")
+    return [(cold, list(partition)), (hot, [KEY, SEGMENT])]
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [p.drop(SEGMENT) for p in parts])
+    return reduce(lambda a, b: a.unionByName(b), [p.drop(KEY, SEGMENT) for p in parts])
 
 
-def _window(partition: Sequence[str], order: Sequence[OrderKey | str], segment: str | None):
-    keys = [*partition, segment] if segment else list(partition)
-    return Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_columns(order))
+def _is_segmented(partition: Sequence[str]) -> bool:
+    return list(partition) == [KEY, SEGMENT]
 
 
-def _attach(df: DataFrame, small: DataFrame, partition: Sequence[str], segment: str) -> DataFrame:
+def _keyed(partition: Sequence[str]):
+    return Window.partitionBy(*[F.col(f"`{k}`") for k in partition])
+
+
+def _attach(df: DataFrame, borders: DataFrame) -> DataFrame:
     """Join a table with one row per (key, segment) to the rows of the segments.
 
-    Segments are ranges over (key, order), so there are at most as many pairs as
-    range partitions and hot keys together, and both are bounded.
+    The rows are partitioned and sorted that way for their window already, so
+    only the small table moves.
     """
-    keys = [*partition, segment]
-    renamed = small.select(
-        *[F.col(f"`{k}`").alias(f"_on_{i}") for i, k in enumerate(keys)],
-        *[F.col(f"`{c}`") for c in small.columns if c not in keys],
-    )
-    on = reduce(
-        operator.and_,
-        [F.col(f"`{k}`").eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate(keys)],
-    )
-    return df.join(F.broadcast(renamed), on, "left").drop(*[f"_on_{i}" for i in range(len(keys))])
+    borders = borders.withColumnsRenamed({KEY: "_on_key", SEGMENT: "_on_segment"})
+    on = (F.col(KEY) == F.col("_on_key")) & (F.col(SEGMENT) == F.col("_on_segment"))
+    return df.join(borders, on, "left").drop("_on_key", "_on_segment")
 
 
 def _beyond(
     df: DataFrame,
-    partition: Sequence[str],
     order: Sequence[OrderKey | str],
     values: Columns[str, Column],
     offset: int,
-    segment: str,
 ) -> DataFrame:
     """Per (key, segment), the ``|offset|`` rows just outside of the segment, in order.
 
@@ -127,21 +122,21 @@ def _beyond(
     segments hold enough of them.
     """
     reach = abs(offset)
-    inner = Window.partitionBy(*[F.col(f"`{k}`") for k in (*partition, segment)])
+    inward = _keyed([KEY, SEGMENT]).orderBy(*sort_columns(order, reverse=offset < 0))
     edge = (
         df.select(
-            *[F.col(f"`{k}`") for k in (*partition, segment)],
-            F.row_number().over(inner.orderBy(*sort_columns(order, reverse=offset < 0))).alias("_nth"),
+            KEY,
+            SEGMENT,
+            F.row_number().over(inward).alias("_nth"),
             F.struct(*[v.alias(name) for name, v in values.items()]).alias("_value"),
         )
         .where(F.col("_nth") <= reach)
-        .groupBy(*partition, segment)
+        .groupBy(KEY, SEGMENT)
         .agg(F.sort_array(F.collect_list(F.struct("_nth", "_value")), asc=offset > 0).alias("_edge"))
     )
     frame = (-reach, -1) if offset < 0 else (1, reach)
-    across = Window.partitionBy(*[F.col(f"`{k}`") for k in partition]).orderBy(segment).rowsBetween(*frame)
-    carried = F.flatten(F.collect_list("_edge").over(across)).alias("_beyond")
-    return edge.select(*partition, segment, carried)
+    across = _keyed([KEY]).orderBy(SEGMENT).rowsBetween(*frame)
+    return edge.select(KEY, SEGMENT, F.flatten(F.collect_list("_edge").over(across)).alias("_beyond"))
 
 
 def neighbours(
@@ -151,40 +146,37 @@ def neighbours(
     values: Columns[str, Column],
     offset: int,
     default: Column | None = None,
-    segment: str | None = None,
 ) -> DataFrame:
     """Add columns holding ``values`` of the row ``offset`` places away in the key.
 
     A negative offset looks back (lag), a positive one ahead (lead). ``default``
-    stands in where there is no such row, not where its value is null.
+    stands in where there is no such row, not where its value is null. ``df``
+    and ``partition`` are a part from :func:`spread_hot_keys`.
     """
     if offset == 0:
         raise ValueError("offset must not be 0")
     reach = abs(offset)
     shift = F.lag if offset < 0 else F.lead
-    window = _window(partition, order, segment)
+    window = _keyed(partition).orderBy(*sort_columns(order))
     missing = F.lit(None) if default is None else default
+    shifted = {name: shift(value, reach).over(window) for name, value in values.items()}
 
-    if segment is None:
-        exists = shift(F.lit(1), reach).over(window).isNotNull()
-        found = {name: shift(value, reach).over(window) for name, value in values.items()}
+    if not _is_segmented(partition):
         if default is not None:
-            found = {name: F.when(exists, column).otherwise(missing) for name, column in found.items()}
-        return df.select("*", *[column.alias(name) for name, column in found.items()])
+            exists = shift(F.lit(1), reach).over(window).isNotNull()
+            shifted = {name: F.when(exists, c).otherwise(missing) for name, c in shifted.items()}
+        return df.select("*", *[c.alias(name) for name, c in shifted.items()])
 
     around = window.rowsBetween(-reach, -1) if offset < 0 else window.rowsBetween(1, reach)
     inside = df.select(
         "*",
-        *[shift(value, reach).over(window).alias(name) for name, value in values.items()],
-        F.count(F.lit(1)).over(around).alias("_inside"),
-    )
-    joined = _attach(
-        inside, _beyond(df, partition, order, values, offset, segment), partition, segment
+        *[c.alias(name) for name, c in shifted.items()],
+        F.count(F.lit(1)).over(around).cast("int").alias("_inside"),
     )
+    joined = _attach(inside, _beyond(df, order, values, offset))
     short = F.lit(reach) - F.col("_inside")
-    carried = F.coalesce(F.size("_beyond"), F.lit(0))
-    at = (carried - short if offset < 0 else short - 1).cast("int")
-    outside = F.when((at >= 0) & (at < carried), F.get("_beyond", at))
+    at = F.size("_beyond") - short if offset < 0 else short - 1
+    outside = F.when((at >= 0) & (at < F.size("_beyond")), F.get("_beyond", at))
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[
@@ -198,29 +190,17 @@ def neighbours(
 
 
 def _ranked(
-    df: DataFrame,
-    kind: str,
-    partition: Sequence[str],
-    order: Sequence[OrderKey | str],
-    name: str,
-    segment: str | None,
+    df: DataFrame, kind: str, partition: Sequence[str], order: Sequence[OrderKey | str], name: str
 ) -> DataFrame:
     """``row_number`` or ``rank``. Rows that tie are never cut into two segments."""
     function = F.row_number() if kind == "row_number" else F.rank()
-    ranked = df.withColumn(name, function.over(_window(partition, order, segment)))
-    if segment is None:
+    ranked = df.withColumn(name, function.over(_keyed(partition).orderBy(*sort_columns(order))))
+    if not _is_segmented(partition):
         return ranked
-    earlier = (
-        Window.partitionBy(*[F.col(f"`{k}`") for k in partition])
-        .orderBy(segment)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        df.groupBy(*partition, segment)
-        .agg(F.count("*").alias("_n"))
-        .select(*partition, segment, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    ranked = _attach(ranked, offsets, partition, segment)
+    earlier = _keyed([KEY]).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(KEY, SEGMENT).agg(F.count("*").alias("_n"))
+    before = sizes.select(KEY, SEGMENT, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ranked = _attach(ranked, before)
     return ranked.withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_before")
 
 
@@ -265,21 +245,20 @@ def analytic(
     sorting = [OrderKey(f"_sort_{i}", k.desc) for i, k in enumerate(order)]
 
     parts = []
-    for part, segment in spread_hot_keys(keyed, keys, sorting, rows_per_task):
+    for part, by in spread_hot_keys(keyed, keys, sorting, rows_per_task):
         if kind in ("lag", "lead"):
             parts.append(
                 neighbours(
                     part,
-                    keys,
+                    by,
                     sorting,
                     {result: F.expr(column)},
                     -offset if kind == "lag" else offset,
                     F.expr(default) if default else None,
-                    segment,
                 )
             )
         else:
-            parts.append(_ranked(part, kind, keys, sorting, result, segment))
+            parts.append(_ranked(part, kind, by, sorting, result))
     done = union_parts(parts)
     return done.select(
         *[

@@ -18,7 +18,7 @@ from tablewright.operators.history import build_history
 from tablewright.operators.joins import apply_joins
 from tablewright.operators.projection import audit_order, project, with_audit
 from tablewright.operators.sizing import broadcast_if_small
-from tablewright.operators.upsert import upsert
+from tablewright.operators.upsert import any_null, upsert
 from tablewright.plans.delta import delta_bounds, in_window
 from tablewright.plans.mapping import (
     EFFECTIVE_TO,
@@ -31,6 +31,9 @@ from tablewright.plans.mapping import (
 )
 from tablewright.session import stage as staged
 
+#: Prefix of columns that a history load needs on its way only.
+HIDDEN = "_hidden_"
+
 Sources = Named[str, DataFrame]
 Params = Named[str, str]
 
@@ -92,7 +95,7 @@ def type1_delta(
 
 
 def _history_rows(
-    mapping: Mapping, sources: Sources, within: Column | None = None
+    mapping: Mapping, sources: Sources, within: Column | None = None, *extra: Column
 ) -> tuple[DataFrame, History]:
     """Mapped rows and their history, with order keys over sources as hidden columns."""
     if mapping.history is None:
@@ -103,16 +106,16 @@ def _history_rows(
         if key.expression in names:
             order.append(key)
         else:
-            hidden.append(F.expr(key.expression).alias(f"_order_{position}"))
-            order.append(OrderKey(f"_order_{position}", key.desc))
+            hidden.append(F.expr(key.expression).alias(f"{HIDDEN}{position}"))
+            order.append(OrderKey(f"{HIDDEN}{position}", key.desc))
     rows = joined_sources(mapping, sources)
     rows = rows if within is None else rows.where(within)
     history = History(mapping.history.partition, mapping.history.driving, tuple(order))
-    return project(rows, mapping.mapped, hidden), history
+    return project(rows, mapping.mapped, [*hidden, *extra]), history
 
 
 def _without_hidden(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_order_")])
+    return df.drop(*[c for c in df.columns if c.startswith(HIDDEN)])
 
 
 def scd2_full(
@@ -149,14 +152,15 @@ def scd2_delta(
         raise ValueError(f"the incremental load of {mapping.target} needs history and primary keys")
     lo, hi = delta_bounds(delta.lower_bound, delta.upper_bound, as_of, params)
     field = F.expr(delta.field)
-    touched = staged(
-        mapped_rows(mapping, sources, in_window(field, lo, hi)).select(*keys).distinct(), "touched"
-    )
     until_end = field.isNotNull() if hi is None else field < hi
-    rows, history = _history_rows(mapping, sources, until_end)
+    fresh = in_window(field, lo, hi)
+    touched = staged(mapped_rows(mapping, sources, fresh).select(*keys).distinct(), "touched")
+    rows, history = _history_rows(mapping, sources, until_end, fresh.alias(f"{HIDDEN}fresh"))
     # Window and earlier rows of the touched keys together; a small list of keys
-    # is broadcast, and the source is then not shuffled to find them.
-    rows = rows.join(broadcast_if_small(touched), keys, "left_semi")
+    # is broadcast, and the source is then not shuffled to find them. Without a
+    # full key, a row has no earlier ones.
+    untracked = rows.where(F.col(f"{HIDDEN}fresh") & any_null(keys))
+    rows = rows.join(broadcast_if_small(touched), keys, "left_semi").unionByName(untracked)
     built = staged(_without_hidden(build_history(rows, history, rows_per_task)), mapping.target)
     return upsert(target, built, mapping.primary_keys, run_ts, update=[EFFECTIVE_TO])
 
