@@ -23,6 +23,7 @@ from tablewright.plans.loads import mapped_rows, type1_delta
 from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
+from tablewright.session import stage
 
 # --- windows --------------------------------------------------------------------
 
@@ -181,12 +182,12 @@ LAST_ORDERS = Mapping(
 def last_order_target(orders: DataFrame) -> DataFrame:
     early = orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     rows = mapped_rows(LAST_ORDERS, {"orders": latest_rows(early, ["o_custkey"], LAST_ORDER)})
-    return with_audit(rows, FIRST_LOAD, created=True)
+    return stage(with_audit(rows, FIRST_LOAD, created=True), "target")
 
 
 def last_order_stage(orders: DataFrame) -> DataFrame:
     late = orders.where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    return mapped_rows(LAST_ORDERS, {"orders": latest_rows(late, ["o_custkey"], LAST_ORDER)})
+    return stage(mapped_rows(LAST_ORDERS, {"orders": latest_rows(late, ["o_custkey"], LAST_ORDER)}), "delta")
 
 
 @query(
@@ -431,7 +432,7 @@ EVENT_DELTA = EVENT_HISTORY.with_(
 
 def event_history_target(events: DataFrame) -> DataFrame:
     early = events.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    return history_full(EVENT_HISTORY, {"events": early}, FIRST_LOAD, created=True)
+    return stage(history_full(EVENT_HISTORY, {"events": early}, FIRST_LOAD, created=True), "target")
 
 
 @query(

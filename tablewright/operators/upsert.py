@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import ntz
 from tablewright.operators.projection import conform
-from tablewright.operators.sizing import broadcast_if_small
+from tablewright.operators.sizing import broadcast_if_small, fits_broadcast
 from tablewright.plans.mapping import AUDIT, MODIFIED
 
 NEW, EXISTING = 1, 2
@@ -59,12 +59,16 @@ def _on(left: str, right: str, keys: Sequence[str], spread: bool = False) -> Col
     return reduce(operator.and_, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in names])
 
 
-def _existing_keys(target: DataFrame, stage_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _existing_keys(
+    target: DataFrame, stage: DataFrame, keys: Sequence[str], small: bool | None = None
+) -> DataFrame:
     """Keys of the stage that the target holds.
 
-    A small stage is broadcast, so that the target's keys are only scanned.
+    A small list of keys is broadcast, so that the target's keys are only
+    scanned. It is measured, unless the stage is known to be ``small``.
     """
-    wanted = broadcast_if_small(stage_keys.select(*keys).distinct())
+    wanted = stage.select(*keys).distinct()
+    wanted = F.broadcast(wanted) if small else broadcast_if_small(wanted)
     return target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
 
 
@@ -83,8 +87,12 @@ def insert_new(target: DataFrame, stage: DataFrame, pk: Sequence[str]) -> DataFr
 
 def new_rows(target: DataFrame, stage: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Stage rows whose key the target lacks."""
-    existing = _existing_keys(target, stage, pk).alias("known")
-    return stage.alias("stage").join(existing, _on("stage", "known", pk), "left_anti")
+    return _without(_spread_nulls(stage, pk), _existing_keys(target, stage, pk), pk).drop(_SPREAD)
+
+
+def _without(spread: DataFrame, existing: DataFrame, pk: Sequence[str]) -> DataFrame:
+    known = existing.withColumn(_SPREAD, F.lit(0)).alias("known")
+    return spread.alias("stage").join(known, _on("stage", "known", pk, spread=True), "left_anti")
 
 
 def union_append(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -105,20 +113,22 @@ def update_from(
     source must be unique on the key. A small source is broadcast; the target is
     then only scanned.
     """
-    return _update(target, require_unique(source, on, "the source of the update"), on, set_exprs, where)
+    unique = require_unique(source, on, "the source of the update")
+    return _update(target, unique, on, set_exprs, F.col("src._unique") == 1, fits_broadcast(source), where)
 
 
 def _update(
     target: DataFrame,
-    unique: DataFrame,
+    spread: DataFrame,
     on: Sequence[str],
     set_exprs: Columns[str, str | Column],
+    hit: Column,
+    small: bool,
     where: Column | None = None,
 ) -> DataFrame:
     rows = _spread_nulls(target, on).alias("trg")
-    source = broadcast_if_small(unique).alias("src")
+    source = (F.broadcast(spread) if small else spread).alias("src")
     joined = rows.join(source, _on("trg", "src", on, spread=True), "left")
-    hit = F.col("src._unique") == 1
     if where is not None:
         hit = hit & where
     columns = []
@@ -154,9 +164,12 @@ def upsert(
     sets: dict[str, str | Column] = {c: F.col(f"src.{c}") for c in update if c in target.columns}
     if MODIFIED in target.columns:
         sets[MODIFIED] = ntz(run_ts)
-    unique = require_unique(stage, pk, "the stage of the upsert")
-    updated = _update(target, unique, pk, sets)
-    added = new_rows(target, unique.where(F.col("_unique") == 1), pk)
+    small = fits_broadcast(stage)
+    hit = F.col(f"src.{_SPREAD}").isNotNull()
+    updated = _update(target, _spread_nulls(stage, pk), pk, sets, hit, small)
+    # Every stage row passes the check here, before known keys are left out.
+    unique = require_unique(stage, pk, "the stage of the upsert").where(F.col("_unique") == 1)
+    added = _without(unique, _existing_keys(target, stage, pk, small or None), pk)
     for name in AUDIT:
         added = added.withColumn(name, ntz(run_ts))
     return union_append(updated, conform(added, target.schema))
