@@ -271,10 +271,10 @@ def write_truncate(spark, customer):
     oracle="SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag",
 )
 def stage_transient(spark, lineitem):
-    """A transient table replaces schema and rows of the one before."""
+    """A transient table replaces schema and rows of the one before, from which it is built."""
     path = fresh_path(spark, "transient")
     sink.write(lineitem, path, "WRITETRANSIENT")
-    flags = stage(spark.read.parquet(path).groupBy("l_returnflag").agg(F.count("*").alias("n")))
+    flags = spark.read.parquet(path).groupBy("l_returnflag").agg(F.count("*").alias("n"))
     sink.write(flags, path, "WRITETRANSIENT")
     return spark.read.parquet(path)
 

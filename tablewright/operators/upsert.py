@@ -39,7 +39,7 @@ def _spread_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """Add ``_unique``, reading which fails if two rows of ``df`` share a full key.
+    """The rows of ``df`` with ``_spread``; fails if two of them share a full key.
 
     Hash-partitioned by key, so a join on the key after it does not shuffle again.
     """
@@ -50,8 +50,9 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
         F.lit(f"{what} has more than one row for key "), F.to_json(F.struct(*columns))
     )
     repeated = (F.row_number().over(window) > 1) & ~any_null(keys)
-    checked = F.when(repeated, F.raise_error(message).cast("int")).otherwise(F.lit(1))
-    return keyed.withColumn("_unique", checked)
+    checked = keyed.withColumn("_unique", F.when(repeated, F.raise_error(message).cast("int")).otherwise(1))
+    # As a filter the check stays, whichever columns are read in the end.
+    return checked.where(F.col("_unique") == 1).drop("_unique")
 
 
 def _on(left: str, right: str, keys: Sequence[str], spread: bool = False) -> Column:
@@ -114,7 +115,7 @@ def update_from(
     then only scanned.
     """
     unique = require_unique(source, on, "the source of the update")
-    return _update(target, unique, on, set_exprs, F.col("src._unique") == 1, fits_broadcast(source), where)
+    return _update(target, unique, on, set_exprs, fits_broadcast(source), where)
 
 
 def _update(
@@ -122,13 +123,13 @@ def _update(
     spread: DataFrame,
     on: Sequence[str],
     set_exprs: Columns[str, str | Column],
-    hit: Column,
     small: bool,
     where: Column | None = None,
 ) -> DataFrame:
     rows = _spread_nulls(target, on).alias("trg")
     source = (F.broadcast(spread) if small else spread).alias("src")
     joined = rows.join(source, _on("trg", "src", on, spread=True), "left")
+    hit = F.col(f"src.{_SPREAD}").isNotNull()
     if where is not None:
         hit = hit & where
     columns = []
@@ -165,10 +166,9 @@ def upsert(
     if MODIFIED in target.columns:
         sets[MODIFIED] = ntz(run_ts)
     small = fits_broadcast(stage)
-    hit = F.col(f"src.{_SPREAD}").isNotNull()
-    updated = _update(target, _spread_nulls(stage, pk), pk, sets, hit, small)
+    updated = _update(target, _spread_nulls(stage, pk), pk, sets, small)
     # Every stage row passes the check here, before known keys are left out.
-    unique = require_unique(stage, pk, "the stage of the upsert").where(F.col("_unique") == 1)
+    unique = require_unique(stage, pk, "the stage of the upsert")
     added = _without(unique, _existing_keys(target, stage, pk, small or None), pk)
     for name in AUDIT:
         added = added.withColumn(name, ntz(run_ts))

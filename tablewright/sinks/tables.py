@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -9,12 +11,32 @@ from tablewright.operators.projection import conform
 from tablewright.plans.mapping import Disposition
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def filesystem(spark: SparkSession, path: str):
+    """``path`` as the file system sees it, and the file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = filesystem(spark, path)
     return system.exists(target)
 
 
+def _replace(df: DataFrame, path: str) -> None:
+    """Write the new files beside the table, then put them in its place.
+
+    Overwriting would delete the old files first: a table that is read in ``df``
+    would be lost, and so would any table whose replacement fails.
+    """
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    fresh = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    target, system = filesystem(df.sparkSession, path)
+    system.delete(target, True)
+    if not system.rename(filesystem(df.sparkSession, fresh)[0], target):
+        raise OSError(f"cannot move {fresh} to {path}")
+
+
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Create an empty table unless there is one; whether it was created."""
     if _path_exists(spark, path):
@@ -27,8 +49,7 @@ def write(df: DataFrame, path: str, disposition: str | Disposition = Disposition
     """Write a table the way its disposition says.
 
     Append adds rows and truncate replaces them; both keep the schema of an
-    existing table. Transient replaces schema and rows. Reading from the table
-    that is being replaced is refused by Spark; use a versioned table for that.
+    existing table. Transient replaces schema and rows.
     """
     disposition = Disposition.of(disposition)
     spark = df.sparkSession
@@ -37,10 +58,13 @@ def write(df: DataFrame, path: str, disposition: str | Disposition = Disposition
         return
     if disposition is not Disposition.TRANSIENT and _path_exists(spark, path):
         df = conform(df, spark.read.parquet(path).schema)
-    df.write.mode("append" if disposition is Disposition.APPEND else "overwrite").parquet(path)
+    if disposition is Disposition.APPEND:
+        df.write.mode("append").parquet(path)
+    else:
+        _replace(df, path)
 
 
 def truncate(spark: SparkSession, path: str) -> None:
     """Remove all rows of a table and keep its schema."""
     schema = spark.read.parquet(path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    _replace(spark.createDataFrame([], schema), path)

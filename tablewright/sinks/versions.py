@@ -18,19 +18,15 @@ from pyspark.sql import types as T
 
 from tablewright.operators.upsert import upsert
 from tablewright.session import stage as staged
+from tablewright.sinks.tables import filesystem
 
 BUCKET = "_bucket"
 _LOG_SCHEMA = "bucket int, path string, buckets int, batch long"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def current_version(spark: SparkSession, root: str) -> int:
     """Number of the last committed version; 0 when there is none."""
-    log, system = _filesystem(spark, f"{root}/log")
+    log, system = filesystem(spark, f"{root}/log")
     if not system.exists(log):
         return 0
     versions = [0]
@@ -42,7 +38,7 @@ def current_version(spark: SparkSession, root: str) -> int:
 
 
 def _entries(spark: SparkSession, root: str, version: int) -> list:
-    """The committed directories: at most one per bucket."""
+    """The committed directories: one per bucket, or a few with rows that have no key."""
     return spark.read.schema(_LOG_SCHEMA).json(f"{root}/log/{version}").collect() if version else []
 
 
@@ -85,7 +81,7 @@ def _write_version(
     # and splits buckets that are large.
     balanced = df.withColumn(BUCKET, _bucket_of(df, pk, buckets)).hint("rebalance", BUCKET)
     balanced.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
-    path, system = _filesystem(spark, data)
+    path, system = filesystem(spark, data)
     written = [
         (int(s.getPath().getName().split("=")[1]), s.getPath().toString(), buckets, batch)
         for s in system.listStatus(path)

@@ -18,12 +18,12 @@ def landing_stream(
     multi_line: bool = False,
     files_per_batch: int | None = None,
     clean: str | None = None,
-    archive: str | None = None,
+    clean_into: str | None = None,
 ) -> DataFrame:
     """New files of a landing folder as a stream, stamped with their lineage.
 
     ``token`` keeps the files of one feed. ``clean`` is what becomes of a file
-    once it has been read: ``delete``, or ``archive`` to move it to ``archive``.
+    once it has been read: ``delete``, or ``archive`` to move it to ``clean_into``.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "json":
@@ -32,8 +32,8 @@ def landing_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if clean:
         reader = reader.option("cleanSource", clean)
-    if archive:
-        reader = reader.option("sourceArchiveDir", archive)
+    if clean_into:
+        reader = reader.option("sourceArchiveDir", clean_into)
     rows = stamp_lineage(reader.load(folder))
     return route(rows, token) if token else rows
 
