@@ -24,6 +24,7 @@ from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
 from tablewright.session import stage
+from tablewright.sources.sql import run_sql
 
 # --- windows --------------------------------------------------------------------
 
@@ -732,6 +733,31 @@ def check_required(spark, documents, labels):
     )
 
 
+@query(
+    "orders",
+    "lineitem",
+    oracle="""
+    SELECT 'orders' AS "check", count(*) > 0 AS result, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT)
+      AS n_failed FROM orders
+    UNION ALL
+    SELECT 'line quantities', min(l_quantity) > 0 AND max(l_quantity) <= 10,
+           CAST(CASE WHEN min(l_quantity) > 0 THEN 0 ELSE 1 END
+              + CASE WHEN max(l_quantity) <= 10 THEN 0 ELSE 1 END AS BIGINT)
+    FROM lineitem
+    """,
+)
+def check_query(spark, orders, lineitem):
+    """Checks written in SQL: a count, and two flags of which one fails."""
+    counted = run_sql(spark, "select count(*) from {orders}", tables={"orders": orders})
+    limits = run_sql(
+        spark,
+        "select min(l_quantity) > 0 as positive, max(l_quantity) <= :most as small from {lines}",
+        {"most": 10},
+        tables={"lines": lineitem},
+    )
+    return checks.check_query(counted, "orders").unionByName(checks.check_query(limits, "line quantities"))
+
+
 # --- scalar functions -----------------------------------------------------------------
 
 

@@ -20,6 +20,7 @@ DUPLICATES = "duplicate_records"
 OPEN_HISTORY = "open_history_items"
 NEW_VALUE = "new_value"
 REQUIRED = "required_fields"
+QUERY = "query"
 
 
 def _verdict(name: str, failed: Column, passed: Column | None = None) -> list[Column]:
@@ -108,6 +109,31 @@ def _same_type(found: T.DataType | None, declared: T.DataType) -> bool:
     return found is not None and found.simpleString() == declared.simpleString()
 
 
+def _holds(field: T.StructField) -> Column:
+    """Whether a value counts as true: not false, zero, empty or null."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.BooleanType):
+        held = column
+    elif isinstance(field.dataType, T.NumericType):
+        held = column != 0
+    elif isinstance(field.dataType, T.StringType):
+        held = F.length(column) > 0
+    else:
+        held = column.isNotNull()
+    return F.coalesce(held, F.lit(False))
+
+
+def check_query(result: DataFrame, name: str = QUERY) -> DataFrame:
+    """Verdict of a check written as a query: all values of its first row must hold.
+
+    A count passes when it is not zero, a flag when it is true. Without a row,
+    the check fails. ``n_failed`` counts the values that do not hold.
+    """
+    failed = [(~_holds(f)).cast("long") for f in result.schema.fields]
+    per_row = result.limit(1).select(reduce(operator.add, failed).alias("n"))
+    return per_row.agg(*_verdict(name, F.coalesce(F.sum("n"), F.lit(1))))
+
+
 def _keyed_checks(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Row count and duplicates from one aggregation by key."""
     keyed = df.groupBy(*pk).agg(F.count("*").alias("n"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.sizing import fits_broadcast
 from tablewright.operators.upsert import upsert
 from tablewright.session import stage as staged
 from tablewright.sinks.tables import filesystem
@@ -72,15 +73,24 @@ def _bucket_of(df: DataFrame, pk: Sequence[str], buckets: int) -> Column:
 
 
 def _write_version(
-    df: DataFrame, root: str, version: int, pk: Sequence[str], buckets: int, kept: list, batch: int | None
+    df: DataFrame,
+    root: str,
+    version: int,
+    pk: Sequence[str],
+    buckets: int,
+    kept: Sequence = (),
+    batch: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write the rows of a version and commit it together with the kept buckets."""
     spark = df.sparkSession
     data = f"{root}/data/v={version}"
-    # Adaptive execution brings each bucket together in files of its target size
-    # and splits buckets that are large.
-    balanced = df.withColumn(BUCKET, _bucket_of(df, pk, buckets)).hint("rebalance", BUCKET)
-    balanced.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+    rows = df.withColumn(BUCKET, _bucket_of(df, pk, buckets))
+    if rebalance:
+        # Adaptive execution brings each bucket together in files of its target
+        # size and splits buckets that are large.
+        rows = rows.hint("rebalance", BUCKET)
+    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
     path, system = filesystem(spark, data)
     written = [
         (int(s.getPath().getName().split("=")[1]), s.getPath().toString(), buckets, batch)
@@ -93,9 +103,13 @@ def _write_version(
 
 
 def publish(df: DataFrame, root: str, pk: Sequence[str], buckets: int = 16) -> None:
-    """Replace the table. It may be read in ``df``: its files are left alone."""
+    """Replace the table. It may be read in ``df``: its files are left alone.
+
+    A bucket should come to some gigabytes. Publishing a table read from itself
+    compacts the small files that upserts leave.
+    """
     version = current_version(df.sparkSession, root) + 1
-    _write_version(df, root, version, pk, buckets, [], None)
+    _write_version(df, root, version, pk, buckets)
 
 
 def change_buckets(
@@ -106,12 +120,14 @@ def change_buckets(
     schema: T.StructType,
     buckets: int = 16,
     batch: int | None = None,
+    rebalance: bool = True,
 ) -> bool:
     """Rewrite the buckets that hold a key of the stage.
 
     ``change`` gets the rows of those buckets and the stage, and returns the new
     rows of the buckets. With a ``batch`` number, a batch that is already in the
-    table is left out. Returns whether there was a change.
+    table is left out. Without ``rebalance`` the new rows are written by the
+    tasks that make them. Returns whether there was a change.
     """
     spark = stage.sparkSession
     version = current_version(spark, root)
@@ -126,7 +142,8 @@ def change_buckets(
         return False
     state = _read(spark, [e for e in entries if e.bucket in touched], schema)
     kept = [e for e in entries if e.bucket not in touched]
-    _write_version(change(state, stage), root, version + 1, pk, buckets, kept, batch)
+    new = change(state, stage)
+    _write_version(new, root, version + 1, pk, buckets, kept, batch, rebalance)
     return True
 
 
@@ -139,8 +156,16 @@ def publish_upsert(
     buckets: int = 16,
     batch: int | None = None,
 ) -> bool:
-    """Insert and update the rows of the stage in the table, bucket by bucket."""
+    """Insert and update the rows of the stage in the table, bucket by bucket.
+
+    A small stage is broadcast to the table, whose files hold one bucket each:
+    they are then rewritten one by one and nothing of the table is shuffled.
+    """
     rows = staged(stage, "upsert")
+
+    def merge(state: DataFrame, new: DataFrame) -> DataFrame:
+        return upsert(state, new, pk, run_ts)
+
     return change_buckets(
-        root, rows, pk, lambda state, new: upsert(state, new, pk, run_ts), schema, buckets, batch
+        root, rows, pk, merge, schema, buckets, batch, rebalance=not fits_broadcast(rows)
     )

@@ -9,7 +9,7 @@ from tests.helpers import plan, same_rows, skewed
 
 @pytest.fixture(scope="module")
 def data(spark):
-    return skewed(spark).cache()
+    return skewed(spark, 1500).cache()
 
 
 ORDERS = {
@@ -21,10 +21,10 @@ ORDERS = {
 
 
 @pytest.mark.parametrize("order", ORDERS.values(), ids=list(ORDERS))
-@pytest.mark.parametrize("kind, offset", [("lag", 1), ("lag", 7), ("lead", 1), ("lead", 3)])
+@pytest.mark.parametrize("kind, offset", [("lag", 1), ("lag", 7), ("lead", 3)])
 def test_hot_keys_give_the_same_neighbours(data, kind, offset, order):
     expected = analytic(data, kind, "v", ["k"], order, offset, "-1", "x")
-    split = analytic(data, kind, "v", ["k"], order, offset, "-1", "x", rows_per_task=60)
+    split = analytic(data, kind, "v", ["k"], order, offset, "-1", "x", rows_per_task=40)
     same_rows(split, expected)
 
 
@@ -34,12 +34,12 @@ def test_hot_keys_give_the_same_ranks(data, kind, order):
     if kind == "row_number" and len(order) == 1:
         order = [*order, "seq"]
     expected = analytic(data, kind, None, ["k"], order, name="x")
-    same_rows(analytic(data, kind, None, ["k"], order, name="x", rows_per_task=60), expected)
+    same_rows(analytic(data, kind, None, ["k"], order, name="x", rows_per_task=40), expected)
 
 
 def test_offset_beyond_a_whole_segment(data):
     expected = analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x")
-    same_rows(analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x", rows_per_task=40), expected)
+    same_rows(analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x", rows_per_task=30), expected)
 
 
 def test_default_is_for_missing_rows_only(spark):
@@ -49,17 +49,17 @@ def test_default_is_for_missing_rows_only(spark):
 
 
 def test_no_segment_is_much_larger_than_a_task(data):
-    parts = spread_hot_keys(data, ["k"], [OrderKey("at"), OrderKey("seq")], rows_per_task=300)
+    parts = spread_hot_keys(data, ["k"], [OrderKey("at"), OrderKey("seq")], rows_per_task=120)
     assert len(parts) == 2
     cold, hot = parts[0][0], parts[1][0]
     assert cold.count() + hot.count() == data.count()
-    assert cold.groupBy("k").count().agg(F.max("count")).first()[0] <= 300
-    assert hot.groupBy("_key", "_segment").count().agg(F.max("count")).first()[0] <= 600
+    assert cold.groupBy("k").count().agg(F.max("count")).first()[0] <= 120
+    assert hot.groupBy("_key", "_segment").count().agg(F.max("count")).first()[0] <= 300
 
 
 def test_null_is_a_key_like_any_other(data):
-    parts = spread_hot_keys(data, ["k"], [OrderKey("seq")], rows_per_task=100)
-    assert parts[1][0].where("k is null").count() == data.where("k is null").count() > 100
+    parts = spread_hot_keys(data, ["k"], [OrderKey("seq")], rows_per_task=60)
+    assert parts[1][0].where("k is null").count() == data.where("k is null").count() > 60
 
 
 def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
