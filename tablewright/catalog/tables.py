@@ -141,7 +141,7 @@ def window_replace_column(spark, events):
 def window_hot_keys(spark, events):
     """Few keys with many rows each: windows over segments of a key."""
     found = events.select("event_id", "event_type", "value", "ts")
-    keys, order, limit = ["event_type"], ["ts", "event_id"], 1000
+    keys, order, limit = ["event_type"], ["ts", "event_id"], 1900
     found = analytic(found, "lag", "value", keys, order, 3, "-1.0D", "before", rows_per_task=limit)
     found = analytic(found, "lead", "value", keys, order, 2, name="after", rows_per_task=limit)
     found = analytic(found, "row_number", None, keys, order, name="nth", rows_per_task=limit)
@@ -423,7 +423,7 @@ TYPE_HISTORY = Mapping(
 )
 def scd2_hot_keys(spark, events):
     """A history over few keys with many rows each, built in segments of a key."""
-    return history_full(TYPE_HISTORY, {"events": events}, RUN_TS, rows_per_task=1000)
+    return history_full(TYPE_HISTORY, {"events": events}, RUN_TS, rows_per_task=1900)
 
 
 EVENT_DELTA = EVENT_HISTORY.with_(

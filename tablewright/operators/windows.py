@@ -13,7 +13,7 @@ from collections.abc import Mapping as Columns
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tablewright.operators.sizing import broadcast_if_small, null_safe_on
@@ -27,6 +27,10 @@ ROWS_PER_TASK = 4_000_000
 #: table to keep to it, so the broadcast list of hot keys is bounded.
 MAX_HOT_KEYS = 20_000
 
+#: Most segments the hot keys are cut into together. Segments are smaller than
+#: ``ROWS_PER_TASK`` until this is reached.
+MAX_SEGMENTS = 20_000
+
 KEY, SEGMENT = "_key", "_segment"
 
 
@@ -45,16 +49,20 @@ def hot_keys(
 ) -> tuple[DataFrame | None, int]:
     """The keys with more rows than one task should take, and their rows in total.
 
-    Rows are counted by key before anything is shuffled. Only when there is a
-    hot key are the counts made again to list them.
+    Rows are counted by key before anything is shuffled. One pass lists the keys
+    and adds up the rows of the table.
     """
     counts = df.groupBy(*partition).agg(F.count("*").alias("_rows"))
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    seen = Observation()
+    counts = counts.observe(
+        seen, F.sum("_rows").alias("total"), F.max("_rows").alias("largest")
+    )
+    listed = stage(counts.where(F.col("_rows") > rows_per_task), "key-counts")
     # Keys over total / MAX_HOT_KEYS rows each: there are at most MAX_HOT_KEYS.
-    limit = max(rows_per_task, (total or 0) // MAX_HOT_KEYS)
-    if (largest or 0) <= limit:
+    limit = max(rows_per_task, (seen.get["total"] or 0) // MAX_HOT_KEYS)
+    if (seen.get["largest"] or 0) <= limit:
         return None, 0
-    hot = counts.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
+    hot = listed.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
     hot = stage(hot, "hot-keys")
     return hot.select(*partition, KEY), hot.agg(F.sum("_rows")).first()[0]
 
@@ -79,7 +87,7 @@ def spread_hot_keys(
     rows, listed = df.alias("rows"), broadcast_if_small(keys).alias("hot")
     on = null_safe_on("rows", "hot", partition)
     cold = rows.join(listed, on, "left_anti")
-    segments = max(2, -(-hot_rows // limit))
+    segments = min(max(2, 2 * hot_rows // limit), MAX_SEGMENTS)
     hot = rows.join(listed, on).select("rows.*", KEY)
     hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order))
     hot = stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments")

@@ -86,7 +86,7 @@ def source(spark):
     return skewed(spark, 1500).cache()
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 25])
+@pytest.mark.parametrize("rows_per_task", [None, 60])
 def test_invariants(source, rows_per_task):
     built = scd2_full(MAPPING, {"s": source}, RUN, rows_per_task=rows_per_task).cache()
     order = Window.partitionBy("k").orderBy("effective_from_dt", "effective_from_dt_csn_seq")
@@ -103,7 +103,7 @@ def test_invariants(source, rows_per_task):
 
 def test_hot_keys_give_the_same_history(source):
     expected = scd2_full(MAPPING, {"s": source}, RUN)
-    for rows_per_task in (20, 200):
+    for rows_per_task in (60, 300):
         same_rows(scd2_full(MAPPING, {"s": source}, RUN, rows_per_task=rows_per_task), expected)
 
 
@@ -112,13 +112,13 @@ def test_order_over_the_sources(source):
     other = MAPPING.with_(history=History(["k"], ["v"], (OrderKey("src.seq % 7", True), OrderKey("src.seq"))))
     expected = scd2_full(other, {"s": source}, RUN)
     assert [c for c in expected.columns if c.startswith("_")] == []
-    same_rows(scd2_full(other, {"s": source}, RUN, rows_per_task=40), expected)
+    same_rows(scd2_full(other, {"s": source}, RUN, rows_per_task=80), expected)
 
 
 CUT = ts("2024-01-01 05:00")
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 40])
+@pytest.mark.parametrize("rows_per_task", [None, 80])
 def test_delta_on_top_of_full_is_full(source, rows_per_task):
     """Loading in two steps gives the history of loading at once."""
     known = source.where("k is not null")

@@ -24,7 +24,7 @@ ORDERS = {
 @pytest.mark.parametrize("kind, offset", [("lag", 1), ("lag", 7), ("lead", 3)])
 def test_hot_keys_give_the_same_neighbours(data, kind, offset, order):
     expected = analytic(data, kind, "v", ["k"], order, offset, "-1", "x")
-    split = analytic(data, kind, "v", ["k"], order, offset, "-1", "x", rows_per_task=40)
+    split = analytic(data, kind, "v", ["k"], order, offset, "-1", "x", rows_per_task=80)
     same_rows(split, expected)
 
 
@@ -34,12 +34,12 @@ def test_hot_keys_give_the_same_ranks(data, kind, order):
     if kind == "row_number" and len(order) == 1:
         order = [*order, "seq"]
     expected = analytic(data, kind, None, ["k"], order, name="x")
-    same_rows(analytic(data, kind, None, ["k"], order, name="x", rows_per_task=40), expected)
+    same_rows(analytic(data, kind, None, ["k"], order, name="x", rows_per_task=80), expected)
 
 
 def test_offset_beyond_a_whole_segment(data):
     expected = analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x")
-    same_rows(analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x", rows_per_task=30), expected)
+    same_rows(analytic(data, "lag", "seq", ["k"], ["seq"], 150, name="x", rows_per_task=60), expected)
 
 
 def test_default_is_for_missing_rows_only(spark):
