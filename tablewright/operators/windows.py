@@ -13,7 +13,8 @@ from collections.abc import Mapping as Columns
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.operators.sizing import broadcast_if_small, null_safe_on
@@ -49,21 +50,21 @@ def hot_keys(
 ) -> tuple[DataFrame | None, int]:
     """The keys with more rows than one task should take, and their rows in total.
 
-    Rows are counted by key before anything is shuffled. One pass lists the keys
-    and adds up the rows of the table.
+    Rows are counted by key before anything is shuffled. The counts are kept on
+    the executors' disks, for the case that there are hot keys to list; lost
+    ones are counted again.
     """
-    counts = df.groupBy(*partition).agg(F.count("*").alias("_rows"))
-    seen = Observation()
-    counts = counts.observe(
-        seen, F.sum("_rows").alias("total"), F.max("_rows").alias("largest")
-    )
-    listed = stage(counts.where(F.col("_rows") > rows_per_task), "key-counts")
-    # Keys over total / MAX_HOT_KEYS rows each: there are at most MAX_HOT_KEYS.
-    limit = max(rows_per_task, (seen.get["total"] or 0) // MAX_HOT_KEYS)
-    if (seen.get["largest"] or 0) <= limit:
-        return None, 0
-    hot = listed.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
-    hot = stage(hot, "hot-keys")
+    counts = df.groupBy(*partition).agg(F.count("*").alias("_rows")).persist(StorageLevel.DISK_ONLY)
+    try:
+        total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+        # Keys over total / MAX_HOT_KEYS rows each: there are at most MAX_HOT_KEYS.
+        limit = max(rows_per_task, (total or 0) // MAX_HOT_KEYS)
+        if (largest or 0) <= limit:
+            return None, 0
+        hot = counts.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
+        hot = stage(hot, "hot-keys")
+    finally:
+        counts.unpersist()
     return hot.select(*partition, KEY), hot.agg(F.sum("_rows")).first()[0]
 
 
