@@ -80,16 +80,19 @@ def build_history(df: DataFrame, history: History, rows_per_task: int | None = N
     """
     df = df.drop(EFFECTIVE_TO)
     order, partition = tuple(history.order), history.partition
+    spread = spread_hot_keys(df, partition, order, rows_per_task)
     parts = []
-    for part, by in spread_hot_keys(df, partition, order, rows_per_task):
+    for part, by in spread:
         changed = cdc_filter(_previous_values(part, by, order, history.driving), history.driving)
         if order == EFFECTIVE_ORDER:
             changed = _closed(changed, by, order)
         parts.append(changed)
     done = union_parts(parts)
-    if order != EFFECTIVE_ORDER:
-        done = close_intervals(done, partition, rows_per_task=rows_per_task)
-    return done
+    if order == EFFECTIVE_ORDER:
+        return done
+    if len(spread) == 1:  # no hot keys, and there are fewer rows now
+        return _closed(done, partition, EFFECTIVE_ORDER)
+    return close_intervals(done, partition, rows_per_task=rows_per_task)
 
 
 def open_rows(df: DataFrame) -> DataFrame:

@@ -75,10 +75,11 @@ def _existing_keys(
 
 def classify(stage: DataFrame, target: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Add ``row_action`` to the stage: 1 for a key the target lacks, 2 for one it has."""
-    existing = _existing_keys(target, stage, pk).withColumn("_known", F.lit(True)).alias("known")
-    rows = stage.alias("stage").join(existing, _on("stage", "known", pk), "left")
-    action = F.when(F.col("_known"), F.lit(EXISTING)).otherwise(F.lit(NEW))
-    return rows.select("stage.*", action.alias("row_action"))
+    known = _existing_keys(target, stage, pk).withColumn(_SPREAD, F.lit(0)).alias("known")
+    rows = _spread_nulls(stage, pk).alias("stage")
+    joined = rows.join(known, _on("stage", "known", pk, spread=True), "left")
+    action = F.when(F.col(f"known.{_SPREAD}").isNull(), F.lit(NEW)).otherwise(F.lit(EXISTING))
+    return joined.select(*[F.col(f"stage.{c}") for c in stage.columns], action.alias("row_action"))
 
 
 def insert_new(target: DataFrame, stage: DataFrame, pk: Sequence[str]) -> DataFrame:

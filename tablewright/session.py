@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even if what follows must then be shuffled again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

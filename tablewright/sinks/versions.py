@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.sizing import fits_broadcast
-from tablewright.operators.upsert import upsert
+from tablewright.operators.upsert import any_null, upsert
 from tablewright.session import stage as staged
 from tablewright.sinks.tables import filesystem
 
@@ -66,9 +66,9 @@ def _read(spark: SparkSession, entries: list, schema: T.StructType | None) -> Da
 
 def _bucket_of(df: DataFrame, pk: Sequence[str], buckets: int) -> Column:
     """Bucket by key; rows without a full key match nothing and may go anywhere."""
-    full = F.concat(*[F.when(F.col(f"`{k}`").isNull(), F.lit(None)).otherwise(F.lit("")) for k in pk])
-    anywhere = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"])
-    hashed = F.when(full.isNull(), anywhere).otherwise(F.xxhash64(*[F.col(f"`{k}`") for k in pk]))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
+    by_key = F.xxhash64(*[F.col(f"`{k}`") for k in pk])
+    hashed = F.when(any_null(pk), F.xxhash64(*plain)).otherwise(by_key)
     return F.pmod(hashed, F.lit(buckets)).cast("int")
 
 
