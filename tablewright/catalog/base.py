@@ -6,7 +6,9 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablewright.plans.mapping import EFFECTIVE_TO
 from tablewright.sources.sql import read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +22,21 @@ FIRST_LOAD = "2024-01-20 00:00:00"
 AS_OF = datetime(2024, 1, 30)
 
 
-def query(*tables: str, oracle: str | None = None, name: str | None = None):
+def _end_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn(EFFECTIVE_TO, F.date_format(EFFECTIVE_TO, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def _end_as_text_sql(oracle: str) -> str:
+    text = f"strftime({EFFECTIVE_TO}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"SELECT * REPLACE ({text} AS {EFFECTIVE_TO}) FROM ({oracle})"
+
+
+def query(*tables: str, oracle: str | None = None, name: str | None = None, open_ended: bool = False):
     """Register a function of ``(spark, *tables)`` under its name.
 
     The registered query takes ``(spark, folder)`` and reads the tables whole.
+    ``open_ended`` results hold the open end date, which is later than pandas
+    timestamps reach; the column is shown as text, for those who use ``toPandas``.
     """
 
     def register(function):
@@ -31,13 +44,14 @@ def query(*tables: str, oracle: str | None = None, name: str | None = None):
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
             frames = read_tables(spark, folder, tables)
-            return function(spark, *frames.values())
+            result = function(spark, *frames.values())
+            return _end_as_text(result) if open_ended else result
 
         run.__name__ = key
         run.__doc__ = function.__doc__
         QUERIES[key] = run
         if oracle is not None:
-            ORACLES[key] = oracle
+            ORACLES[key] = _end_as_text_sql(oracle) if open_ended else oracle
         return function
 
     return register

@@ -117,7 +117,7 @@ NESTED_DEFINITION = [
 @query(
     "orders",
     oracle="""
-    SELECT o_orderkey AS results, CAST(o_orderdate AS DATE) AS ordered, o_orderstatus = 'O' AS open,
+    SELECT o_orderkey AS results, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS ordered, o_orderstatus = 'O' AS open,
            1 AS n_errors, o_orderpriority AS priority, o_custkey AS customer_id
     FROM orders
     """,
@@ -138,7 +138,7 @@ def ingest_nested(spark, orders):
     found = read_json(spark, f"{write_json(documents, 'nested')}/*.json", schema)
     return found.select(
         "results",
-        "ordered",
+        F.col("ordered").cast("string").alias("ordered"),
         "open",
         F.size("errors").alias("n_errors"),
         F.col("response")[0]["priority"].alias("priority"),

@@ -345,12 +345,15 @@ def join_left_filtered(spark, lineitem, part):
     "documents",
     "labels",
     oracle="""
-    SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    SELECT d.doc_id, d.lang, l.quality = 1 AS is_good, l.toxic = 1 AS is_toxic
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     """,
 )
 def join_left(spark, documents, labels):
     joins = [Join("labels", [Condition(["src.doc_id", "labels.doc_id"])])]
-    return apply_joins(documents, joins, {"labels": labels}).select("src.doc_id", "quality", "toxic")
+    joined = apply_joins(documents, joins, {"labels": labels})
+    flags = [(F.col(c) == 1).alias(name) for c, name in (("quality", "is_good"), ("toxic", "is_toxic"))]
+    return joined.select("src.doc_id", "lang", *flags)
 
 
 @query(
@@ -371,7 +374,8 @@ def join_inner(spark, lineitem, orders):
     "labels",
     "documents",
     oracle="""
-    SELECT l.doc_id AS label_doc, l.quality, d.doc_id AS document, d.lang
+    SELECT CAST(l.doc_id AS VARCHAR) AS label_doc, l.quality = 1 AS is_good,
+           CAST(d.doc_id AS VARCHAR) AS document, d.lang
     FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id AND l.quality = 1
     """,
 )
@@ -379,7 +383,10 @@ def join_full(spark, labels, documents):
     on = [Condition(["src.doc_id", "d.doc_id"]), Condition(["src.quality", "1"])]
     joined = apply_joins(labels, [Join("documents", on, "full", "d")], {"documents": documents})
     return joined.select(
-        F.col("src.doc_id").alias("label_doc"), "src.quality", F.col("d.doc_id").alias("document"), "d.lang"
+        F.col("src.doc_id").cast("string").alias("label_doc"),
+        (F.col("src.quality") == 1).alias("is_good"),
+        F.col("d.doc_id").cast("string").alias("document"),
+        "d.lang",
     )
 
 

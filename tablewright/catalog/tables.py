@@ -49,6 +49,7 @@ def window_lag(spark, events):
              OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS effective_to_dt
     FROM orders
     """,
+    open_ended=True,
 )
 def window_lead(spark, orders):
     found = analytic(
@@ -325,6 +326,7 @@ def cdc_filter(spark, events):
       AS effective_to_dt
     FROM mapped
     """,
+    open_ended=True,
 )
 def close_intervals(spark, events):
     return closed_rows(mapped_rows(EVENT_HISTORY, {"events": events}), ["user_id"])
@@ -333,6 +335,7 @@ def close_intervals(spark, events):
 @query(
     "events",
     oracle=f"WITH {_ALL} SELECT *, TIMESTAMP '{RUN_TS}' AS dw_last_modified_dt FROM p3",
+    open_ended=True,
 )
 def scd2_full(spark, events):
     return history_full(EVENT_HISTORY, {"events": events}, RUN_TS)
@@ -383,6 +386,7 @@ ORDER_HISTORY = Mapping(
            TIMESTAMP '{RUN_TS}' AS dw_last_modified_dt
     FROM p1 WHERE o_orderstatus IS DISTINCT FROM prev
     """,
+    open_ended=True,
 )
 def scd2_full_orders(spark, orders):
     """A history whose order is given over the sources."""
@@ -420,6 +424,7 @@ TYPE_HISTORY = Mapping(
            TIMESTAMP '{RUN_TS}' AS dw_last_modified_dt
     FROM p1 WHERE band IS DISTINCT FROM prev
     """,
+    open_ended=True,
 )
 def scd2_hot_keys(spark, events):
     """A history over few keys with many rows each, built in segments of a key."""
@@ -451,6 +456,7 @@ def event_history_target(events: DataFrame) -> DataFrame:
                 ELSE TIMESTAMP '{FIRST_LOAD}' END AS dw_last_modified_dt
     FROM p3
     """,
+    open_ended=True,
 )
 def scd2_delta(spark, events):
     return history_delta(EVENT_DELTA, {"events": events}, event_history_target(events), AS_OF, RUN_TS)
@@ -770,13 +776,13 @@ def check_query(spark, orders, lineitem):
            CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 ELSE 0 END AS code,
            CAST(user_id AS VARCHAR) AS user_text,
            abs(user_id - 75) AS distance,
-           CAST(ts AS DATE) AS day,
+           CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
            CAST(CAST(ts AS DATE) AS TIMESTAMP) AS midnight,
-           CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS DATE) AS next_day,
-           CAST(CAST(ts AS DATE) - INTERVAL 1 DAY AS DATE) AS previous_day,
-           CAST(CAST(ts AS DATE) - INTERVAL 1 MONTH AS DATE) AS previous_month,
+           CAST(CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS DATE) AS VARCHAR) AS next_day,
+           CAST(CAST(CAST(ts AS DATE) - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS previous_day,
+           CAST(CAST(CAST(ts AS DATE) - INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS previous_month,
            ts + INTERVAL 90 SECOND AS later,
-           last_day(CAST(ts AS DATE)) AS month_end,
+           CAST(last_day(CAST(ts AS DATE)) AS VARCHAR) AS month_end,
            CAST(date_part('dow', ts) + 1 AS INTEGER) AS day_of_week,
            CAST(strptime(strftime(ts, '%d-%b-%Y %H:%M:%S'), '%d-%b-%Y %H:%M:%S') AS TIMESTAMP) AS parsed
     FROM events
@@ -791,13 +797,13 @@ def scalar_functions(spark, events):
         "case event_type when 'click' then 1 when 'view' then 2 else 0 end AS code",
         "cast(user_id as string) AS user_text",
         "abs(user_id - 75) AS distance",
-        "to_date(ts) AS day",
+        "cast(to_date(ts) as string) AS day",
         "cast(to_date(ts) as timestamp_ntz) AS midnight",
-        "date_add(to_date(ts), 1) AS next_day",
-        "date_sub(to_date(ts), 1) AS previous_day",
-        "add_months(to_date(ts), -1) AS previous_month",
+        "cast(date_add(to_date(ts), 1) as string) AS next_day",
+        "cast(date_sub(to_date(ts), 1) as string) AS previous_day",
+        "cast(add_months(to_date(ts), -1) as string) AS previous_month",
         "ts + interval 90 second AS later",
-        "last_day(ts) AS month_end",
+        "cast(last_day(ts) as string) AS month_end",
         "dayofweek(ts) AS day_of_week",
         "to_timestamp_ntz(date_format(ts, 'dd-MMM-yyyy HH:mm:ss'), 'dd-MMM-yyyy HH:mm:ss') AS parsed",
     )
