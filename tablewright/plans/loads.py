@@ -21,8 +21,8 @@ from tablewright.operators.sizing import broadcast_if_small
 from tablewright.operators.upsert import any_null, upsert
 from tablewright.plans.delta import delta_bounds, in_window
 from tablewright.plans.mapping import (
+    AUDIT,
     EFFECTIVE_TO,
-    MODIFIED,
     Disposition,
     History,
     Mapping,
@@ -196,7 +196,7 @@ def run_load(
         return load(mapping, sources, target, as_of, run_ts, params)
     full = (scd2_full if history else type1_full)(mapping, sources, run_ts)
     if disposition is Disposition.TRANSIENT:
-        return full.drop(MODIFIED)
+        return full.drop(*AUDIT)
     if disposition is Disposition.APPEND and target is not None:
         return target.unionByName(full)
     return full

@@ -48,6 +48,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def filesystem(spark: SparkSession, path: str):
+    """``path`` as its file system sees it, and the file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Materialise ``df`` as a transient table in the shared folder.
 

@@ -9,12 +9,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.projection import conform
 from tablewright.plans.mapping import Disposition
-
-
-def filesystem(spark: SparkSession, path: str):
-    """``path`` as the file system sees it, and the file system."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+from tablewright.session import filesystem
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:

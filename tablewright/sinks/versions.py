@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from tablewright.operators.sizing import fits_broadcast
 from tablewright.operators.upsert import any_null, upsert
+from tablewright.session import filesystem
 from tablewright.session import stage as staged
-from tablewright.sinks.tables import filesystem
 
 BUCKET = "_bucket"
 _LOG_SCHEMA = "bucket int, path string, buckets int, batch long"

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tablewright.operators.checks import check_row_count
 from tablewright.operators.current import LATEST, latest_rows
 from tablewright.plans.mapping import OrderKey
-from tablewright.session import fresh_path
+from tablewright.session import filesystem, fresh_path
 from tablewright.sinks.versions import change_buckets, publish_upsert
 
 
@@ -21,8 +21,9 @@ def _each_batch(
 ) -> StreamingQuery:
     """Run ``work`` on every batch that is available, and stop.
 
-    A batch is written to the shared folder first: it is read more than once,
-    and work on the table then runs with adaptive execution.
+    A batch is written to the shared folder first, and removed from there when
+    done: it is read more than once, and work on the table then runs with
+    adaptive execution.
     """
     spark = stream.sparkSession
 
@@ -30,6 +31,8 @@ def _each_batch(
         path = fresh_path(spark, f"batch-{batch_id}")
         batch.write.parquet(path)
         work(spark.read.schema(batch.schema).parquet(path), batch_id)
+        written, system = filesystem(spark, path)
+        system.delete(written, True)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
