@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that go to a Python worker at once; texts may be long.
-ROWS_PER_BATCH = 1000
+ROWS_PER_BATCH = 500
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

@@ -13,7 +13,7 @@ from functools import cached_property
 import numpy as np
 
 #: Bytes handled together. A longer text is a chunk of its own.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
