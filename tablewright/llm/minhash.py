@@ -12,9 +12,10 @@ order of its own, so registers of short documents agree with the same probabilit
    estimated similarity, corrected for registers that agree by chance, is far below the threshold is dropped; the rest
    are compared on their full sets.
 4. Links give components. Groups whose members are now all in one component are finished. In the others, members of
-   different components are still to be compared: all at once when those pairs are few (``PAIRS`` per document), else
-   by another leader, which then is finished with its group, until they are. No pair is left out, and no
-   round emits more pairs than a small multiple of the documents.
+   different components are still to be compared. When there are few such pairs (``MEETINGS`` per document), all meet
+   at once, each in the first group that they share. Else some members more, those of the smallest components first,
+   are compared with all others of their group and leave it, until there are few. No pair is left out, and
+   such a round has at most ``PAIRS`` pairs per document, or one leader per group.
 
 Null, empty and wordless texts have an empty set and are linked with nothing. With fewer words than a shingle, the
 whole sequence is the set. Rows without id are linked with nothing, their component is null, and they are kept.
@@ -26,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.components import components
@@ -39,8 +40,8 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: Pairs whose estimate is lower are not compared: more than six standard errors below 0.8.
 ESTIMATE = 0.5
-#: Pairs listed at once, per document.
-PAIRS = 2
+#: Pairs compared in one round, per document, and pairs that may meet in the last.
+PAIRS, MEETINGS = 4, 100
 
 _EDGES = np.array([k * (1 << 64) // REGISTERS for k in range(REGISTERS)], np.uint64)
 _ORDER = np.array(
@@ -156,13 +157,35 @@ def _open_groups(candidates: DataFrame, low: DataFrame) -> DataFrame:
     return named.join(mixed.select("key"), "key")
 
 
+def band_keys(registers: Column) -> Column:
+    bands = [F.substring(registers, 2 * ROWS * i + 1, 2 * ROWS) for i in range(BANDS)]
+    return F.array(*[F.xxhash64(F.lit(i), band) for i, band in enumerate(bands)])
+
+
+def _last_pairs(rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components in one group, each pair in the first group it shares."""
+    known = classes.select("rep", "n", band_keys(F.col("registers")).alias("keys"))
+    rows = rest.join(known, "rep")
+    x, y = rows.alias("x"), rows.alias("y")
+    first = F.get(F.array_intersect("x.keys", "y.keys"), 0) == F.col("x.key")
+    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.low") < F.col("y.low")) & sizes & first)
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+
+
+def _leaders(rest: DataFrame, counts: DataFrame, per_group: int, turn: int) -> DataFrame:
+    """Some members of every group, those of its smallest components first."""
+    order = Window.partitionBy("key").orderBy("size", F.xxhash64("rep", F.lit(turn)), "rep")
+    sized = rest.join(counts, ["key", "low"]).withColumn("nth", F.row_number().over(order))
+    return sized.where(F.col("nth") <= per_group).select("key", "rep")
+
+
 def _links(classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between classes that connect all that are connected by similar pairs."""
-    keys = [F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)]
-    banded = classes.select("rep", F.explode(F.array(*keys)).alias("key"))
+    banded = classes.select("rep", F.explode(band_keys(F.col("registers"))).alias("key"))
     groups = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     candidates = stage(banded.join(groups, "key").select("key", "rep", "leader"), "bands")
-    limit = PAIRS * classes.count()
+    documents = classes.count()
     pairs = candidates.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_verified(pairs, classes, texts, shingle, percent), "links")
     candidates = candidates.where("rep <> leader").select("key", "rep")
@@ -170,22 +193,21 @@ def _links(classes: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     while True:
         turn += 1
         rest = stage(_open_groups(candidates, components(links)), "open")
-        counts = rest.groupBy("key", "low").count().groupBy("key")
-        counts = counts.agg(((F.pow(F.sum("count"), 2) - F.sum(F.pow("count", F.lit(2)))) / 2).alias("pairs"))
-        left = counts.agg(F.sum("pairs")).first()[0] or 0
+        counts = stage(rest.groupBy("key", "low").agg(F.count("*").alias("size")), "sizes")
+        meetings = (F.pow(F.sum("size"), 2) - F.sum(F.pow("size", F.lit(2)))) / 2
+        totals = counts.groupBy("key").agg(F.sum("size").alias("n"), meetings.alias("meetings"))
+        rows, left = totals.agg(F.sum("n"), F.sum("meetings")).first()
         if not left:
             return links
-        last = left <= limit
-        x, y = rest.alias("x"), rest.alias("y")
+        last = left <= MEETINGS * documents
         if last:
-            same = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") < F.col("y.low"))
+            pairs = _last_pairs(rest, classes, percent)
         else:
-            order = F.struct(F.xxhash64("rep", F.lit(turn)), "rep")
-            leaders = stage(rest.groupBy("key").agg(F.min_by("rep", order).alias("rep")), "leaders")
-            x = rest.join(leaders, ["key", "rep"], "left_semi").alias("x")
-            same = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") != F.col("y.low"))
-        pairs = x.join(y, same).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        more = _verified(pairs.distinct(), classes, texts, shingle, percent)
+            leaders = stage(_leaders(rest, counts, max(1, PAIRS * documents // rows), turn), "leaders")
+            x, y = rest.join(leaders, ["key", "rep"], "left_semi").alias("x"), rest.alias("y")
+            met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.low") != F.col("y.low")))
+            pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+        more = _verified(pairs, classes, texts, shingle, percent)
         links = stage(links.union(more), "links")
         if last:
             return links
