@@ -12,10 +12,11 @@ order of its own, so registers of short documents agree with the same probabilit
    estimated similarity, corrected for registers that agree by chance, is far below the threshold is dropped; the rest
    are compared on their full sets.
 4. Links give components. Groups whose members are now all in one component are finished. In the others, members of
-   different components are still to be compared. When there are few such pairs (``MEETINGS`` per document), all meet
-   at once, each in the first group that they share. Else some members more, those of the smallest components first,
-   are compared with all others of their group and leave it, until there are few. No pair is left out, and
-   such a round has at most ``PAIRS`` pairs per document, or one leader per group.
+   different components are still to be compared. The members are dealt into blocks of ``BLOCK`` shingles, and every
+   two blocks of a group meet in a task of their own, unless both lie in its largest component; an index of shingles
+   there finds the similar members of different components, and one link for each two components is given out.
+   If that would send more than ``COPIES`` rows per document, some members more, those of the smallest components
+   first, are compared with all others of their group and leave it, until it does not. No pair is left out.
 
 Null, empty and wordless texts have an empty set and are linked with nothing. With fewer words than a shingle, the
 whole sequence is the set. Rows without id are linked with nothing, their component is null, and they are kept.
@@ -40,8 +41,8 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: Pairs whose estimate is lower are not compared: more than six standard errors below 0.8.
 ESTIMATE = 0.5
-#: Pairs compared in one round, per document, and pairs that may meet in the last.
-PAIRS, MEETINGS = 4, 100
+#: Shingles in a block, rows sent to blocks per document, and pairs of a round before, per document.
+BLOCK, COPIES, PAIRS = 500_000, 20, 1
 
 _EDGES = np.array([k * (1 << 64) // REGISTERS for k in range(REGISTERS)], np.uint64)
 _ORDER = np.array(
@@ -129,6 +130,12 @@ def similar(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
+def _sets(wanted: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """The full sets of the classes ``rep`` in ``wanted``. Shuffled at every size, so that plans do not differ."""
+    rows = texts.join(wanted.hint("merge"), texts["id"] == wanted["rep"]).dropDuplicates(["rep"])
+    return stage(rows.select("rep", full_sets(shingle)(F.col("text")).alias("hashes")), "sets")
+
+
 def _verified(
     pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int
 ) -> DataFrame:
@@ -140,9 +147,7 @@ def _verified(
     near = stage(near, "near")
     if near.isEmpty():
         return near.select("a", "b")
-    wanted = near.select(F.col("a").alias("rep")).union(near.select("b")).distinct()
-    sets = texts.join(wanted, texts["id"] == wanted["rep"]).dropDuplicates(["rep"])
-    sets = stage(sets.select("rep", full_sets(shingle)(F.col("text")).alias("hashes")), "sets")
+    sets = _sets(near.select(F.col("a").alias("rep")).union(near.select("b")).distinct(), texts, shingle)
     sets_of = lambda x: sets.select(F.col("rep").alias(x), F.col("hashes").alias(f"h_{x}"))
     checked = near.join(sets_of("a"), "a").join(sets_of("b"), "b")
     checked = checked.withColumn("shared", F.pandas_udf(common, "long")("h_a", "h_b"))
@@ -162,15 +167,60 @@ def band_keys(registers: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), band) for i, band in enumerate(bands)])
 
 
-def _last_pairs(rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components in one group, each pair in the first group it shares."""
-    known = classes.select("rep", "n", band_keys(F.col("registers")).alias("keys"))
-    rows = rest.join(known, "rep")
-    x, y = rows.alias("x"), rows.alias("y")
-    first = F.get(F.array_intersect("x.keys", "y.keys"), 0) == F.col("x.key")
-    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.low") < F.col("y.low")) & sizes & first)
-    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between members of different components, one for each two that are connected."""
+    sets = [np.frombuffer(h, np.uint64) for h in members["hashes"]]
+    n, low, rep = members["n"].to_numpy(), members["low"].to_numpy().copy(), members["rep"].to_numpy()
+    owner, hashes = np.repeat(np.arange(len(n)), n), np.concatenate(sets)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    names, sizes = np.unique(low, return_counts=True)
+    found = []
+    for i in np.flatnonzero(low != names[np.argmax(sizes)]):
+        first, last = np.searchsorted(hashes, sets[i]), np.searchsorted(hashes, sets[i], side="right")
+        count = last - first
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        shared = np.bincount(owner[at], minlength=len(n))
+        similar_to = (low != low[i]) & (100 * shared >= percent * (n + n[i] - shared))
+        for j in np.flatnonzero(similar_to):
+            if low[j] != low[i]:
+                found.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                low[low == low[j]] = low[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _blocks(rest: DataFrame, classes: DataFrame) -> DataFrame:
+    """The open groups' members with their blocks: ``mine``, and the range of blocks ``low_block``..``blocks`` to meet.
+
+    Blocks of members outside of the group's largest component come first, ``rest_blocks`` of them.
+    """
+    rows = rest.join(classes.select("rep", "n"), "rep")
+    sizes = rows.groupBy("key", "low").agg(F.sum("n").alias("shingles"))
+    largest = F.struct("shingles", "low")
+    sizes = sizes.groupBy("key").agg(F.sum("shingles").alias("all"), F.max(largest).alias("main"))
+    whole = F.col("all") <= BLOCK
+    apart = F.ceil((F.col("all") - F.col("main.shingles")) / BLOCK)
+    sizes = sizes.select(
+        "key",
+        F.when(~whole, F.col("main.low")).alias("main"),
+        F.when(whole, 1).otherwise(apart).cast("long").alias("rest_blocks"),
+        F.when(whole, 0).otherwise(F.ceil(F.col("main.shingles") / BLOCK)).cast("long").alias("main_blocks"),
+    )
+    joined = rows.join(sizes, "key")
+    in_main = F.coalesce(F.col("low") == F.col("main"), F.lit(False))
+    dealt = F.xxhash64("rep")
+    mine = F.when(in_main, F.col("rest_blocks") + F.pmod(dealt, "main_blocks")).otherwise(F.pmod(dealt, "rest_blocks"))
+    last = F.when(in_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks"))
+    return joined.select("key", "rep", "low", "n", mine.alias("mine"), last.alias("partners"))
+
+
+def _last_links(blocks: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between members of different components, from every two blocks of a group."""
+    sets = _sets(blocks.select("rep").distinct(), texts, shingle)
+    rows = blocks.join(sets, "rep").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("partners") - 1)))
+    rows = rows.withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
+    met = rows.select("key", "x", "y", "rep", "low", "n", "hashes").groupBy("key", "x", "y")
+    return met.applyInPandas(lambda members: linked(members, percent), "a long, b long").distinct()
 
 
 def _leaders(rest: DataFrame, counts: DataFrame, per_group: int, turn: int) -> DataFrame:
@@ -193,21 +243,20 @@ def _links(classes: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     while True:
         turn += 1
         rest = stage(_open_groups(candidates, components(links)), "open")
-        counts = stage(rest.groupBy("key", "low").agg(F.count("*").alias("size")), "sizes")
-        meetings = (F.pow(F.sum("size"), 2) - F.sum(F.pow("size", F.lit(2)))) / 2
-        totals = counts.groupBy("key").agg(F.sum("size").alias("n"), meetings.alias("meetings"))
-        rows, left = totals.agg(F.sum("n"), F.sum("meetings")).first()
-        if not left:
+        blocks = stage(_blocks(rest, classes), "blocks")
+        rows, copies = blocks.agg(F.count("*"), F.sum("partners")).first()
+        if not rows:
             return links
-        last = left <= MEETINGS * documents
+        last = copies <= COPIES * documents
         if last:
-            pairs = _last_pairs(rest, classes, percent)
+            more = _last_links(blocks, texts, shingle, percent)
         else:
+            counts = rest.groupBy("key", "low").agg(F.count("*").alias("size"))
             leaders = stage(_leaders(rest, counts, max(1, PAIRS * documents // rows), turn), "leaders")
             x, y = rest.join(leaders, ["key", "rep"], "left_semi").alias("x"), rest.alias("y")
             met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.low") != F.col("y.low")))
             pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        more = _verified(pairs, classes, texts, shingle, percent)
+            more = _verified(pairs, classes, texts, shingle, percent)
         links = stage(links.union(more), "links")
         if last:
             return links
