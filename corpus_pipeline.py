@@ -34,9 +34,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redacted(docs)
 
 
+#: After the quality rules little is left of the poor domain, so little is asked for.
+TARGETS = {"clean": 0.95, "poor": 0.01, "toxic": 0.04}
+
+
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents get a rate and a number of copies; those with none go."""
-    return mixing.mixed(docs, table(configure(spark), sf_dir, "labels"))
+    return mixing.mixed(docs, table(configure(spark), sf_dir, "labels"), TARGETS)
 
 
 STAGES = [

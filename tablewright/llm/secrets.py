@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.forest import Forest, grow
-from tablewright.llm.frames import fresh_name, per_text, small_batches
+from tablewright.llm.frames import deal, fresh_name, per_text, small_batches
 from tablewright.llm.text import Chunk, chunks
 
 MIN_RUN = 16
@@ -212,9 +212,8 @@ def train(texts: list[str], findings: list[tuple[str, int, int, int]] | None = N
 
 def sample(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> list[str]:
     """At most ``bound`` texts, the same for the same corpus."""
-    rows = docs.select(F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
-    rows = rows.withColumn("deal", F.xxhash64("text"))
-    return [r["text"] for r in rows.orderBy("deal", "text").limit(bound).collect()]
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.lit(1).alias("label")).where(F.length("text") > 0)
+    return sorted(r["text"] for r in deal(rows, "label", "text", bound)[0].collect())
 
 
 def _on_texts(scanner: Scanner | None, texts: list) -> Iterator[tuple[int, bytes, list]]:
