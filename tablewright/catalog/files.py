@@ -256,14 +256,14 @@ def write_append(spark, customer):
 
 @query(
     "customer",
-    oracle="SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_acctbal < 0",
+    oracle="SELECT c_custkey, c_name, c_nationkey FROM customer",
 )
 def write_truncate(spark, customer):
     """A replaced table keeps its schema: another column and type of the new rows are not taken."""
     path = fresh_path(spark, "truncate")
-    sink.write(customer.select("c_custkey", "c_name", "c_nationkey"), path)
-    negative = customer.where("c_acctbal < 0").withColumn("c_nationkey", F.col("c_nationkey").cast("long"))
-    sink.write(negative, path, "WRITETRUNCATE")
+    for _ in range(2):
+        sink.write(customer.select("c_custkey", "c_name", "c_nationkey"), path, "WRITE_APPEND")
+    sink.write(customer.withColumn("c_nationkey", F.col("c_nationkey").cast("long")), path, "WRITETRUNCATE")
     return spark.read.parquet(path)
 
 

@@ -19,7 +19,7 @@ from tablewright.operators.upsert import insert_new as inserted
 from tablewright.operators.upsert import union_append as appended
 from tablewright.operators.upsert import update_from as updated
 from tablewright.operators.windows import analytic
-from tablewright.plans.loads import mapped_rows, type1_delta
+from tablewright.plans.loads import mapped_rows, run_load, type1_delta
 from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
@@ -68,29 +68,27 @@ def window_lead(spark, orders):
     "orders",
     oracle="""
     SELECT o_orderkey, o_custkey,
-           CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS nth
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS nth
     FROM orders
     """,
 )
 def window_row_number(spark, orders):
     order = [OrderKey("o_totalprice", desc=True), OrderKey("o_orderkey")]
     found = analytic(orders, "row_number", None, ["o_custkey"], order, name="nth")
-    return found.select("o_orderkey", "o_custkey", F.col("nth").cast("int").alias("nth"))
+    return found.select("o_orderkey", "o_custkey", "nth")
 
 
 @query(
     "lineitem",
     oracle="""
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
-           CAST(rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS INTEGER) AS place
+           rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS place
     FROM lineitem
     """,
 )
 def window_rank(spark, lineitem):
     found = analytic(lineitem, "rank", None, ["l_suppkey"], ["l_shipdate"], name="place")
-    return found.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", F.col("place").cast("int").alias("place")
-    )
+    return found.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "place")
 
 
 @query(
@@ -146,7 +144,29 @@ def window_hot_keys(spark, events):
     found = analytic(found, "lag", "value", keys, order, 3, "-1.0D", "before", rows_per_task=limit)
     found = analytic(found, "lead", "value", keys, order, 2, name="after", rows_per_task=limit)
     found = analytic(found, "row_number", None, keys, order, name="nth", rows_per_task=limit)
-    return found.select("event_id", "event_type", "before", "after", F.col("nth").cast("long").alias("nth"))
+    return found.select("event_id", "event_type", "before", "after", "nth")
+
+
+@query(
+    "lineitem",
+    oracle="""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_shipdate,
+           rank() OVER (PARTITION BY l_returnflag ORDER BY date_trunc('year', l_shipdate)) AS place,
+           count(*) OVER (PARTITION BY l_returnflag) AS n_rows
+    FROM lineitem
+    """,
+)
+def window_hot_ties(spark, lineitem):
+    """Few keys and long runs of ties: a run is cut into segments and keeps one rank.
+
+    The last row number of a key is its number of rows, whatever the order of ties.
+    """
+    found = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    keys, order, limit = ["l_returnflag"], ["date_trunc('year', l_shipdate)"], 1900
+    found = analytic(found, "rank", None, keys, order, name="place", rows_per_task=limit)
+    numbered = analytic(found, "row_number", None, keys, order, name="nth", rows_per_task=limit)
+    last = numbered.groupBy("l_returnflag").agg(F.max("nth").alias("n_rows"))
+    return found.join(F.broadcast(last), "l_returnflag").select(*found.columns, "n_rows")
 
 
 # --- type-1 upserts -----------------------------------------------------------------
@@ -164,7 +184,7 @@ _LAST = """
     trg AS (SELECT * EXCLUDE (period) FROM last_orders WHERE period = 'target'),
     stg AS (SELECT * EXCLUDE (period) FROM last_orders WHERE period = 'delta')
 """.format(
-    period="""CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'target'
+    period="""CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN 'target'
                   WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'delta' END"""
 )
 
@@ -182,7 +202,7 @@ LAST_ORDERS = Mapping(
 
 
 def last_order_target(orders: DataFrame) -> DataFrame:
-    early = orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    early = orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
     rows = mapped_rows(LAST_ORDERS, {"orders": latest_rows(early, ["o_custkey"], LAST_ORDER)})
     return stage(with_audit(rows, FIRST_LOAD, created=True), "target")
 
@@ -254,6 +274,19 @@ def type1_delta_upsert(spark, orders):
     return type1_delta(LAST_ORDERS, {"orders": latest}, last_order_target(orders), AS_OF, RUN_TS)
 
 
+@query(
+    "orders",
+    oracle=f"""
+    WITH {_LAST}
+    SELECT stg.*, TIMESTAMP '{RUN_TS}' AS dw_created_dt, TIMESTAMP '{RUN_TS}' AS dw_last_modified_dt FROM stg
+    """,
+)
+def delta_first_load(spark, orders):
+    """The first incremental load takes its window, like those that follow."""
+    late = latest_rows(orders, ["o_custkey", "o_orderdate < timestamp_ntz'2000-01-01'"], LAST_ORDER)
+    return run_load(LAST_ORDERS, {"orders": late}, RUN_TS, as_of=AS_OF)
+
+
 @query(
     "orders",
     oracle=f"""
@@ -462,6 +495,29 @@ def scd2_delta(spark, events):
     return history_delta(EVENT_DELTA, {"events": events}, event_history_target(events), AS_OF, RUN_TS)
 
 
+@query(
+    "events",
+    oracle=f"""
+    WITH {_ALL}
+    SELECT p3.*,
+           CASE WHEN user_id IN (SELECT user_id FROM events WHERE event_id % 3 = 0) THEN TIMESTAMP '{RUN_TS}'
+                ELSE TIMESTAMP '{FIRST_LOAD}' END AS dw_last_modified_dt
+    FROM p3
+    """,
+    open_ended=True,
+)
+def scd2_delta_late(spark, events):
+    """Rows that arrive late, before and between known ones, and take some of these out of the history."""
+    known = events.where("event_id % 3 <> 0")
+    target = stage(history_full(EVENT_HISTORY, {"events": known}, FIRST_LOAD, created=True), "target")
+    arrived = EVENT_HISTORY.with_(delta=Delta("src.arrived", "timestamp_ntz'2024-06-01 00:00:00'"))
+    stamped = events.withColumn(
+        "arrived", F.when(F.col("event_id") % 3 == 0, F.lit("2024-06-02")).otherwise(F.lit("2024-05-01")).cast("timestamp_ntz")
+    )
+    built = history_delta(arrived, {"events": stamped}, target, AS_OF, RUN_TS)
+    return built.drop("dw_created_dt")
+
+
 # --- archives and nested records ------------------------------------------------------
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tablewright.functions.dates import ntz
 from tablewright.operators.history import open_rows
-from tablewright.plans.mapping import Mapping, TargetType
+from tablewright.plans.mapping import EFFECTIVE_TO, Mapping, TargetType
+from tablewright.session import stage
 
 ROW_COUNT = "row_count"
 DUPLICATES = "duplicate_records"
@@ -162,8 +163,11 @@ def check_suite(
     Row count always; duplicates when there is a primary key; open rows when
     there is one and the target is a history. Blocked, there are none.
     """
+    history = bool(pk and hk) and target_type is TargetType.HISTORY
+    if history:  # read by two aggregations, and often the result of a long plan
+        df = stage(df.select(*dict.fromkeys([*pk, *hk, EFFECTIVE_TO])), "checked")
     checks = _keyed_checks(df, pk) if pk else check_row_count(df)
-    if pk and hk and target_type is TargetType.HISTORY:
+    if history:
         checks = checks.unionByName(check_open_history(df, hk))
     if blocked:
         checks = checks.limit(0)

@@ -10,24 +10,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.filters import conditions_column
+from tablewright.operators.sizing import fits_broadcast
 from tablewright.plans.mapping import DRIVING, Condition, Join
 
 _QUALIFIED = re.compile(r"(\w+)\.(\w+)")
 _CONSTANT = re.compile(r"'[^']*'|-?\d+(\.\d+)?|null|true|false", re.IGNORECASE)
 
 
+def _sides(operand: str | None, right_alias: str) -> set[str]:
+    """Which sides an operand reads: ``left``, ``right``, both, or none for a constant."""
+    named = re.sub(r"'[^']*'", "", operand or "")
+    return {"right" if alias == right_alias else "left" for alias, _ in _QUALIFIED.findall(named)}
+
+
 def _left_operands(on: Sequence[Condition], right_alias: str) -> list[str] | None:
-    """Columns of the left side the conditions use, if each operand is plain."""
+    """Columns and expressions of the left side the conditions use, if no operand mixes sides."""
     used = []
     for operand in (o for condition in on for o in condition.fields if o):
-        named = _QUALIFIED.fullmatch(operand.strip())
-        if named is None and not _CONSTANT.fullmatch(operand.strip()):
+        sides = _sides(operand, right_alias)
+        if len(sides) > 1 or not (sides or _CONSTANT.fullmatch(operand.strip())):
             return None
-        if named and named.group(1) != right_alias:
+        if sides == {"left"}:
             used.append(operand.strip())
     return list(dict.fromkeys(used))
 
 
+def _has_equality(on: Sequence[Condition], right_alias: str) -> bool:
+    """Whether an equality holds between both sides in every pair that the chain joins."""
+
+    def across(condition: Condition) -> bool:
+        sides = [_sides(o, right_alias) for o in condition.fields]
+        return condition.operator.strip() == "=" and sorted(map(tuple, sides)) == [("left",), ("right",)]
+
+    ties = [(c.connective or "and").lower() for c in on]
+    alternatives: list[list[bool]] = [[]]
+    for position, (condition, tie) in enumerate(zip(on, ties)):
+        if tie == "or" and position:
+            alternatives.append([])
+        alternatives[-1].append(tie != "not" and across(condition))
+    return all(any(terms) for terms in alternatives) and len(alternatives) == 1
+
+
+def _guarded(right: DataFrame, join: Join, alias: str) -> DataFrame:
+    """The right side of a join that compares all pairs: broadcast if it is small, else an error."""
+    if fits_broadcast(right):
+        return F.broadcast(right).alias(alias)
+    if join.unbounded:
+        return right
+    raise ValueError(
+        f"the {join.how} join of {alias} has no equality between both sides, and {join.right} is too large "
+        f"to compare with every row; add one, or set unbounded"
+    )
+
+
 def _full_join(left: DataFrame, right: DataFrame, join: Join, alias: str) -> DataFrame:
     """Full join as a left join and the right rows without a partner.
 
@@ -38,10 +73,10 @@ def _full_join(left: DataFrame, right: DataFrame, join: Join, alias: str) -> Dat
     on = conditions_column(join.on)
     matched = left.join(right, on, "left")
     used = _left_operands(join.on, alias)
-    keys = left.select(*[F.col(c) for c in used]).distinct() if used else left
+    keys = left.select(*[F.expr(c).alias(f"_key_{i}") for i, c in enumerate(used)]).distinct() if used else left
     if used:
         names = [f"_key_{i}" for i in range(len(used))]
-        keys = keys.toDF(*names).alias("_keys")
+        keys = keys.alias("_keys")
         renamed = {column: f"_keys.{name}" for column, name in zip(used, names)}
         on = conditions_column(
             [
@@ -61,13 +96,16 @@ def apply_joins(
 
     Every right side goes under its alias, so one table can be joined twice.
     Which side is broadcast, and how skewed keys are split, is decided by Spark
-    from the sizes it sees.
+    from the sizes it sees; a right side that every row is compared with is
+    measured first (:class:`Join`).
     """
     joined = driving.alias(DRIVING)
     for join in joins:
         alias = join.alias or join.right
         right = sources[join.right].alias(alias)
         how = join.how.lower()
+        if how in ("cross", "left", "inner", "full") and (how == "cross" or join.on) and not _has_equality(join.on, alias):
+            right = _guarded(right, join, alias)
         if how == "cross":
             joined = joined.crossJoin(right)
         elif not join.on:

@@ -40,10 +40,6 @@ def with_audit(df: DataFrame, run_ts: str | datetime | Column, created: bool = F
     return df.withColumn(CREATED, ntz(run_ts)) if created else df
 
 
-def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.drop(*columns)
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema`` in its order and types; other columns are left out.
 

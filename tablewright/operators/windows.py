@@ -24,15 +24,11 @@ from tablewright.session import stage
 #: Rows of one key that a single task may be given.
 ROWS_PER_TASK = 4_000_000
 
-#: Most keys that may count as hot. The threshold rises with the size of the
-#: table to keep to it, so the broadcast list of hot keys is bounded.
-MAX_HOT_KEYS = 20_000
+#: Most segments the hot keys are cut into together, as Spark samples every one of
+#: them on the driver. Segments keep to ``ROWS_PER_TASK`` for 4 * 10^11 rows of hot keys.
+MAX_SEGMENTS = 200_000
 
-#: Most segments the hot keys are cut into together. Segments are smaller than
-#: ``ROWS_PER_TASK`` until this is reached.
-MAX_SEGMENTS = 20_000
-
-KEY, SEGMENT = "_key", "_segment"
+KEY, SEGMENT, TIE = "_key", "_segment", "_tie"
 
 
 def sort_columns(order: Sequence[OrderKey | str], reverse: bool = False) -> list[Column]:
@@ -56,12 +52,9 @@ def hot_keys(
     """
     counts = df.groupBy(*partition).agg(F.count("*").alias("_rows")).persist(StorageLevel.DISK_ONLY)
     try:
-        total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-        # Keys over total / MAX_HOT_KEYS rows each: there are at most MAX_HOT_KEYS.
-        limit = max(rows_per_task, (total or 0) // MAX_HOT_KEYS)
-        if (largest or 0) <= limit:
+        if (counts.agg(F.max("_rows")).first()[0] or 0) <= rows_per_task:
             return None, 0
-        hot = counts.where(F.col("_rows") > limit).withColumn(KEY, F.monotonically_increasing_id())
+        hot = counts.where(F.col("_rows") > rows_per_task).withColumn(KEY, F.monotonically_increasing_id())
         hot = stage(hot, "hot-keys")
     finally:
         counts.unpersist()
@@ -78,31 +71,37 @@ def spread_hot_keys(
 
     Without hot keys this is ``df`` and ``partition``. Otherwise the second part
     holds the hot keys, numbered, and cut into segments that follow ``order``:
-    every segment holds a contiguous run of a key. The part is staged, so that
-    the cut is the same for all that is computed from it.
+    every segment holds a contiguous run of a key. Rows that tie are told apart by
+    a number of their own, so a run of ties is cut as well. The part is staged, so
+    that the cut is the same for all that is computed from it; so is ``df``.
     """
     limit = rows_per_task or ROWS_PER_TASK
     keys, hot_rows = hot_keys(df, partition, limit)
     if keys is None:
         return [(df, list(partition))]
-    rows, listed = df.alias("rows"), broadcast_if_small(keys).alias("hot")
+    rows, listed = stage(df, "windowed").alias("rows"), broadcast_if_small(keys).alias("hot")
     on = null_safe_on("rows", "hot", partition)
     cold = rows.join(listed, on, "left_anti")
     segments = min(max(2, 2 * hot_rows // limit), MAX_SEGMENTS)
-    hot = rows.join(listed, on).select("rows.*", KEY)
-    hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order))
+    hot = rows.join(listed, on).select("rows.*", KEY, F.monotonically_increasing_id().alias(TIE))
+    hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order), F.col(TIE))
     hot = stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments")
     return [(cold, list(partition)), (hot, [KEY, SEGMENT])]
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [p.drop(KEY, SEGMENT) for p in parts])
+    return reduce(lambda a, b: a.unionByName(b), [p.drop(KEY, SEGMENT, TIE) for p in parts])
 
 
 def _is_segmented(partition: Sequence[str]) -> bool:
     return list(partition) == [KEY, SEGMENT]
 
 
+def _total(order: Sequence[OrderKey | str], partition: Sequence[str]) -> list[OrderKey | str]:
+    """``order``, in which rows of a segment do not tie."""
+    return [*order, OrderKey(TIE)] if _is_segmented(partition) else list(order)
+
+
 def _keyed(partition: Sequence[str]):
     return Window.partitionBy(*[F.col(f"`{k}`") for k in partition])
 
@@ -164,6 +163,7 @@ def neighbours(
     """
     if offset == 0:
         raise ValueError("offset must not be 0")
+    order = _total(order, partition)
     reach = abs(offset)
     shift = F.lag if offset < 0 else F.lead
     window = _keyed(partition).orderBy(*sort_columns(order))
@@ -201,16 +201,47 @@ def neighbours(
 def _ranked(
     df: DataFrame, kind: str, partition: Sequence[str], order: Sequence[OrderKey | str], name: str
 ) -> DataFrame:
-    """``row_number`` or ``rank``. Rows that tie are never cut into two segments."""
-    function = F.row_number() if kind == "row_number" else F.rank()
-    ranked = df.withColumn(name, function.over(_keyed(partition).orderBy(*sort_columns(order))))
+    """``row_number`` or ``rank``, as a long.
+
+    A run of ties may cross segments. Its rank then is where the run begins, which
+    each segment takes from the segments before it.
+    """
+    by = _keyed(partition)
     if not _is_segmented(partition):
-        return ranked
-    earlier = _keyed([KEY]).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = df.groupBy(KEY, SEGMENT).agg(F.count("*").alias("_n"))
-    before = sizes.select(KEY, SEGMENT, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = _attach(ranked, before)
-    return ranked.withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_before")
+        function = F.row_number() if kind == "row_number" else F.rank()
+        return df.withColumn(name, function.over(by.orderBy(*sort_columns(order))).cast("long"))
+    across = _keyed([KEY]).orderBy(SEGMENT)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    if kind == "row_number":
+        place = F.row_number().over(by.orderBy(*sort_columns(_total(order, partition))))
+        sizes = df.groupBy(KEY, SEGMENT).agg(F.count("*").alias("_n"))
+        before = sizes.select(KEY, SEGMENT, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        ranked = _attach(df.withColumn(name, place), before)
+        return ranked.withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_before")
+
+    values = [F.expr(OrderKey(k).expression if isinstance(k, str) else k.expression) for k in order]
+    value = F.struct(*[v.alias(f"_{i}") for i, v in enumerate(values)])
+    ranked = df.select("*", F.rank().over(by.orderBy(*sort_columns(order))).alias(name), value.alias("_value"))
+    ends = ranked.groupBy(KEY, SEGMENT).agg(
+        F.count("*").alias("_n"),
+        F.min_by("_value", name).alias("_first"),
+        F.max_by("_value", name).alias("_last"),
+        F.max(name).alias("_run"),
+    )
+    goes_on = F.lag("_n").over(across).isNotNull() & F.col("_first").eqNullSafe(F.lag("_last").over(across))
+    ends = ends.select(
+        "*", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), goes_on.alias("_goes_on")
+    )
+    # Where the segment's last run begins, unless it began in a segment before.
+    whole = F.col("_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))
+    ends = ends.withColumn("_begins", F.when(~whole, F.col("_before") + F.col("_run")))
+    ends = ends.select(
+        KEY, SEGMENT, "_before", "_goes_on", "_first", F.last("_begins", ignorenulls=True).over(earlier).alias("_carried")
+    )
+    carried = F.col("_goes_on") & F.col("_value").eqNullSafe(F.col("_first"))
+    place = F.when(carried, F.col("_carried")).otherwise(F.col(name) + F.col("_before"))
+    joined = _attach(ranked, ends).withColumn(name, place.cast("long"))
+    return joined.drop("_value", "_before", "_goes_on", "_first", "_carried")
 
 
 def _place(columns: Sequence[str], name: str, position: int | None) -> list[str]:

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from tablewright.operators.filters import apply_where
 from tablewright.operators.history import build_history
 from tablewright.operators.joins import apply_joins
-from tablewright.operators.projection import audit_order, project, with_audit
-from tablewright.operators.sizing import broadcast_if_small
-from tablewright.operators.upsert import any_null, upsert
+from tablewright.functions.dates import ntz
+from tablewright.operators.projection import audit_order, conform, project, with_audit
+from tablewright.operators.sizing import broadcast_if_small, null_safe_on
+from tablewright.operators.upsert import require_unique, upsert
 from tablewright.plans.delta import delta_bounds, in_window
 from tablewright.plans.mapping import (
     AUDIT,
-    EFFECTIVE_TO,
+    CREATED,
+    MODIFIED,
     Disposition,
     History,
     Mapping,
@@ -144,25 +146,43 @@ def scd2_delta(
     """The history with the rows of the extraction window worked in.
 
     Keys with a row in the window are computed anew from all of their source
-    rows up to its end, so a row that repeats the value before the window is no
-    change. New rows are inserted; of known rows only ``effective_to_dt`` is set.
+    rows up to its end, and the new rows take the place of all that the target
+    has of the key. So a row that repeats the value before the window is no
+    change, and one that arrives late can also take known rows out. Rows that
+    were there keep their time of creation. Null is a key like any other.
     """
-    keys, delta = mapping.history_keys, mapping.delta
-    if not keys or not mapping.primary_keys:
+    keys, pk, delta = mapping.history_keys, mapping.primary_keys, mapping.delta
+    if not keys or not pk:
         raise ValueError(f"the incremental load of {mapping.target} needs history and primary keys")
     lo, hi = delta_bounds(delta.lower_bound, delta.upper_bound, as_of, params)
     field = F.expr(delta.field)
-    until_end = field.isNotNull() if hi is None else field < hi
-    fresh = in_window(field, lo, hi)
-    touched = staged(mapped_rows(mapping, sources, fresh).select(*keys).distinct(), "touched")
-    rows, history = _history_rows(mapping, sources, until_end, fresh.alias(f"{HIDDEN}fresh"))
-    # Window and earlier rows of the touched keys together; a small list of keys
-    # is broadcast, and the source is then not shuffled to find them. Without a
-    # full key, a row has no earlier ones.
-    untracked = rows.where(F.col(f"{HIDDEN}fresh") & any_null(keys))
-    rows = rows.join(broadcast_if_small(touched), keys, "left_semi").unionByName(untracked)
-    built = staged(_without_hidden(build_history(rows, history, rows_per_task)), mapping.target)
-    return upsert(target, built, mapping.primary_keys, run_ts, update=[EFFECTIVE_TO])
+    # Only the window's end bounds what a key is computed from.
+    until_end = None if hi is None else field < hi
+    touched = staged(mapped_rows(mapping, sources, in_window(field, lo, hi)).select(*keys).distinct(), "touched")
+    # A small list of keys is broadcast, and the source is then not shuffled to find them.
+    touched = broadcast_if_small(touched)
+
+    def of_touched(df: DataFrame, how: str) -> DataFrame:
+        return df.alias("rows").join(touched.alias("touched"), null_safe_on("rows", "touched", keys), how)
+
+    rows, history = _history_rows(mapping, sources, until_end)
+    built = _without_hidden(build_history(of_touched(rows, "left_semi"), history, rows_per_task))
+    built = staged(built, mapping.target)
+    new = require_unique(built, pk, f"the history of {mapping.target}").select(*built.columns)
+    if CREATED in target.columns:
+        known = of_touched(target, "left_semi").groupBy(*pk).agg(F.min(CREATED).alias("_known"))
+        joined = new.alias("new").join(known.alias("known"), null_safe_on("new", "known", pk), "left")
+        new = joined.select("new.*", F.coalesce("_known", ntz(run_ts)).alias(CREATED))
+    new = new.withColumn(MODIFIED, ntz(run_ts))
+    return of_touched(target, "left_anti").unionByName(conform(new, target.schema))
+
+
+def _empty_target(mapping: Mapping, sources: Sources, run_ts: str | datetime) -> DataFrame:
+    """A table without rows, with the columns a full load would give it."""
+    nothing = {name: df.limit(0) for name, df in sources.items()}
+    load = scd2_full if mapping.target_type is TargetType.HISTORY else type1_full
+    found = load(mapping, nothing, run_ts, created=True)
+    return found.sparkSession.createDataFrame([], found.schema)
 
 
 def run_load(
@@ -176,8 +196,9 @@ def run_load(
     """The new rows or state of a target, as its mapping describes the load.
 
     Transient tables are the mapped rows alone; with a delta, of its window. A
-    load with a delta merges into ``target``; without, it replaces it or, for
-    the append disposition, adds to it.
+    load with a delta merges its window into ``target``, which is an empty table
+    if there is none yet; without, it replaces it or, for the append
+    disposition, adds to it. To load everything at first, leave the delta out.
     """
     disposition = mapping.disposition
     if disposition is Disposition.DELETE:
@@ -191,7 +212,9 @@ def run_load(
             mapping, sources, as_of, params
         )
     history = mapping.target_type is TargetType.HISTORY
-    if mapping.delta is not None and target is not None:
+    if mapping.delta is not None and disposition is not Disposition.TRANSIENT:
+        if target is None:
+            target = _empty_target(mapping, sources, run_ts)
         load = scd2_delta if history else type1_delta
         return load(mapping, sources, target, as_of, run_ts, params)
     full = (scd2_full if history else type1_full)(mapping, sources, run_ts)

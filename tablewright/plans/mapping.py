@@ -104,10 +104,17 @@ class Condition:
 
 @dataclass(frozen=True)
 class Join:
+    """A join of a mapping.
+
+    Without an equality between both sides, every pair of rows is compared. That is done
+    when the right side has been measured to be small; ``unbounded`` allows it for any size.
+    """
+
     right: str
     on: Sequence[Condition] = ()
     how: str = "left"
     alias: str | None = None
+    unbounded: bool = False
 
 
 @dataclass(frozen=True)

@@ -12,24 +12,47 @@ from tablewright.plans.mapping import Disposition
 from tablewright.session import filesystem
 
 
+def _beside(path: str, label: str) -> str:
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_{name}-{label}"
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table, after a replacement that broke off has been undone."""
     target, system = filesystem(spark, path)
-    return system.exists(target)
+    if system.exists(target):
+        return True
+    aside = filesystem(spark, _beside(path, "replaced"))[0]
+    return system.exists(aside) and system.rename(aside, target)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``; the old one, if its replacement broke off half way."""
+    _path_exists(spark, path)
+    return spark.read.parquet(path)
 
 
 def _replace(df: DataFrame, path: str) -> None:
     """Write the new files beside the table, then put them in its place.
 
     Overwriting would delete the old files first: a table that is read in ``df``
-    would be lost, and so would any table whose replacement fails.
+    would be lost, and so would any table whose replacement fails. The old files are
+    renamed, and deleted only when the new ones are in place; :func:`read` and every
+    write put them back if the steps between broke off.
     """
-    folder, name = path.rstrip("/").rsplit("/", 1)
-    fresh = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    fresh = _beside(path, uuid.uuid4().hex)
     df.write.parquet(fresh)
     target, system = filesystem(df.sparkSession, path)
-    system.delete(target, True)
+    aside = filesystem(df.sparkSession, _beside(path, "replaced"))[0]
+    if system.exists(target):
+        system.delete(aside, True)  # left by a replacement that did everything but this
+        if not system.rename(target, aside):
+            raise OSError(f"cannot move {path} aside")
     if not system.rename(filesystem(df.sparkSession, fresh)[0], target):
+        if system.exists(aside):
+            system.rename(aside, target)
         raise OSError(f"cannot move {fresh} to {path}")
+    system.delete(aside, True)
 
 
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> bool:
@@ -52,7 +75,7 @@ def write(df: DataFrame, path: str, disposition: str | Disposition = Disposition
         truncate(spark, path)
         return
     if disposition is not Disposition.TRANSIENT and _path_exists(spark, path):
-        df = conform(df, spark.read.parquet(path).schema)
+        df = conform(df, read(spark, path).schema)
     if disposition is Disposition.APPEND:
         df.write.mode("append").parquet(path)
     else:
@@ -61,5 +84,5 @@ def write(df: DataFrame, path: str, disposition: str | Disposition = Disposition
 
 def truncate(spark: SparkSession, path: str) -> None:
     """Remove all rows of a table and keep its schema."""
-    schema = spark.read.parquet(path).schema
+    schema = read(spark, path).schema
     _replace(spark.createDataFrame([], schema), path)

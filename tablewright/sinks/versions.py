@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.sizing import fits_broadcast
 from tablewright.operators.upsert import any_null, upsert
-from tablewright.session import filesystem
-from tablewright.session import stage as staged
+from tablewright.session import filesystem, fresh_path
 
 BUCKET = "_bucket"
 _LOG_SCHEMA = "bucket int, path string, buckets int, batch long"
@@ -161,11 +160,41 @@ def publish_upsert(
     A small stage is broadcast to the table, whose files hold one bucket each:
     they are then rewritten one by one and nothing of the table is shuffled.
     """
-    rows = staged(stage, "upsert")
+    spark = stage.sparkSession
+    path = fresh_path(spark, "upsert")
 
     def merge(state: DataFrame, new: DataFrame) -> DataFrame:
         return upsert(state, new, pk, run_ts)
 
-    return change_buckets(
-        root, rows, pk, merge, schema, buckets, batch, rebalance=not fits_broadcast(rows)
-    )
+    try:
+        stage.write.parquet(path)
+        rows = spark.read.schema(stage.schema).parquet(path)
+        return change_buckets(root, rows, pk, merge, schema, buckets, batch, rebalance=not fits_broadcast(rows))
+    finally:  # the change is written by now, or has failed
+        written, system = filesystem(spark, path)
+        system.delete(written, True)
+
+
+def expire(spark: SparkSession, root: str, keep: int = 1) -> None:
+    """Remove what only versions before the last ``keep`` name: their lists, and files no kept list names.
+
+    Frames that were read from a removed version fail when they are computed again.
+    """
+    if keep < 1:
+        raise ValueError("the last version has to stay")
+    last = current_version(spark, root)
+    kept = range(max(1, last - keep + 1), last + 1)
+    named = {e.path.rstrip("/").rsplit("/data/", 1)[1] for v in kept for e in _entries(spark, root, v)}
+    data, system = filesystem(spark, f"{root}/data")
+    for version in system.listStatus(data) if system.exists(data) else []:
+        if int(version.getPath().getName().split("=")[1]) > last:
+            continue  # being written
+        parts = system.listStatus(version.getPath())
+        unused = [p.getPath() for p in parts if f"{version.getPath().getName()}/{p.getPath().getName()}" not in named]
+        for path in [version.getPath()] if len(unused) == len(parts) else unused:
+            system.delete(path, True)
+    log, _ = filesystem(spark, f"{root}/log")
+    for status in system.listStatus(log) if system.exists(log) else []:
+        name = status.getPath().getName()
+        if name.isdigit() and int(name) < last - keep + 1:
+            system.delete(status.getPath(), True)

@@ -29,10 +29,12 @@ def _each_batch(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         path = fresh_path(spark, f"batch-{batch_id}")
-        batch.write.parquet(path)
-        work(spark.read.schema(batch.schema).parquet(path), batch_id)
-        written, system = filesystem(spark, path)
-        system.delete(written, True)
+        try:
+            batch.write.parquet(path)
+            work(spark.read.schema(batch.schema).parquet(path), batch_id)
+        finally:
+            written, system = filesystem(spark, path)
+            system.delete(written, True)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

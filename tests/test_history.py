@@ -153,7 +153,7 @@ def test_delta_row_that_repeats_the_value_before_is_no_change(spark):
     ]
 
 
-def test_delta_row_without_a_key_is_inserted(spark):
+def test_null_is_a_history_key_in_steps_as_at_once(spark):
     source = spark.sql(
         """select cast(null as string) as k, cast(at as timestamp_ntz) as at, cast(seq as bigint) as seq, v
            from values ('2024-01-01', 1, 'X'), ('2024-01-05', 2, 'Y') as t(at, seq, v)"""
@@ -161,7 +161,25 @@ def test_delta_row_without_a_key_is_inserted(spark):
     delta = MAPPING.with_(delta=Delta("src.at", "$TODAY"))
     target = scd2_full(MAPPING, {"s": source.where("seq = 1")}, FIRST, created=True)
     built = scd2_delta(delta, {"s": source}, target, ts("2024-01-05"), RUN)
-    assert rows(built, "effective_from_dt_csn_seq", "effective_to_dt") == [(1, HIGH), (2, HIGH)]
+    assert rows(built, "effective_from_dt_csn_seq", "effective_to_dt") == [(1, ts("2024-01-05")), (2, HIGH)]
+    at_once = scd2_full(MAPPING, {"s": source}, RUN)
+    same_rows(built.drop("dw_created_dt", "dw_last_modified_dt"), at_once.drop("dw_last_modified_dt"))
+
+
+def test_late_arrival_takes_its_place_and_leaves_one_open_row(spark):
+    source = spark.sql(
+        """select k, cast(at as timestamp_ntz) as at, cast(seq as bigint) as seq, v, cast(come as timestamp_ntz) as come
+           from values ('a', '2024-01-01', 1, 'A', '2024-01-01'), ('a', '2024-01-05', 2, 'B', '2024-01-05'),
+                       ('a', '2024-01-03', 3, 'B', '2024-02-01') as t(k, at, seq, v, come)"""
+    )
+    delta = MAPPING.with_(delta=Delta("src.come", "timestamp_ntz'2024-02-01'"))
+    target = scd2_full(MAPPING, {"s": source.where("seq < 3")}, FIRST, created=True)
+    built = scd2_delta(delta, {"s": source}, target, ts("2024-02-01"), RUN)
+    same_rows(
+        built.drop("dw_created_dt", "dw_last_modified_dt"),
+        scd2_full(MAPPING, {"s": source}, RUN).drop("dw_last_modified_dt"),
+    )
+    assert check_open_history(built, ["k"]).first()["result"]
 
 
 def test_empty_delta_changes_nothing(spark, source):

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators import windows
 from tablewright.operators.windows import analytic, spread_hot_keys
@@ -62,16 +63,6 @@ def test_null_is_a_key_like_any_other(data):
     assert parts[1][0].where("k is null").count() == data.where("k is null").count() > 60
 
 
-def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
-    """The threshold rises with the table, so only the largest keys are listed."""
-    monkeypatch.setattr(windows, "MAX_HOT_KEYS", 3)
-    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
-    assert windows.hot_keys(df, ["k"], 50) == (None, 0)
-    monkeypatch.setattr(windows, "MAX_HOT_KEYS", 20)
-    keys, total = windows.hot_keys(df, ["k"], 50)
-    assert (keys.count(), total) == (10, 1000)
-
-
 def test_plain_window_without_hot_keys(data):
     found = plan(analytic(data, "lag", "v", ["k"], ["at", "seq"]))
     assert "_segment" not in found and found.count("Exchange hashpartitioning") == 1
@@ -84,3 +75,21 @@ def test_names_and_positions(spark):
     assert analytic(df, "row_number", None, ["a"], ["c"], name="b").first() == (1, 1, 3)
     with pytest.raises(ValueError, match="ntile"):
         analytic(df, "ntile", None, ["a"], ["c"])
+
+
+def test_types_do_not_depend_on_hot_keys(data):
+    for kind in ("row_number", "rank"):
+        plain = analytic(data, kind, None, ["k"], ["at", "seq"], name="x")
+        split = analytic(data, kind, None, ["k"], ["at", "seq"], name="x", rows_per_task=80)
+        assert plain.schema["x"].dataType == split.schema["x"].dataType == T.LongType()
+
+
+def test_ties_are_cut_and_keep_their_rank(spark):
+    """One key, in which long runs of rows tie."""
+    df = spark.range(20_000).select(F.lit("k").alias("k"), (F.col("id") % 3).alias("day"), "id")
+    parts = spread_hot_keys(df, ["k"], [OrderKey("day")], rows_per_task=1000)
+    assert parts[1][0].groupBy("_key", "_segment").count().agg(F.max("count")).first()[0] <= 2000
+    expected = analytic(df, "rank", None, ["k"], ["day"], name="x")
+    same_rows(analytic(df, "rank", None, ["k"], ["day"], name="x", rows_per_task=1000), expected)
+    numbers = analytic(df, "row_number", None, ["k"], ["day"], name="x", rows_per_task=1000)
+    assert numbers.agg(F.countDistinct("x"), F.max("x")).first()[:] == (20_000, 20_000)
