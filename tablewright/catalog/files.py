@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.catalog.base import FIRST_LOAD, RUN_TS, query
+from tablewright.catalog.mapped import CONFIG_LOAD
 from tablewright.catalog.tables import (
     LAST_ORDER,
     LAST_ORDERS,
@@ -24,6 +25,7 @@ from tablewright.operators.current import LINEAGE, latest_rows
 from tablewright.operators.projection import conform, with_audit
 from tablewright.plans.loads import mapped_rows
 from tablewright.plans.mapping import Delta, Field, Mapping, OrderKey
+from tablewright.plans.tasks import run_build
 from tablewright.session import fresh_path, stage
 from tablewright.sinks import tables as sink
 from tablewright.sinks import versions
@@ -448,3 +450,31 @@ def stream_checked(spark, customer):
         write_json(part, "landing", "append", folder)
         _finish(checked(spark.readStream.schema(schema).json(folder), checkpoint, publish, check_row_count))
     return spark.read.parquet(out).drop("batch")
+
+
+# --- whole tasks ------------------------------------------------------------------
+
+
+@query(
+    "supplier",
+    "nation",
+    "region",
+    oracle="""
+    WITH built AS (
+      SELECT s_suppkey FROM supplier
+      LEFT JOIN nation ON s_nationkey = n_nationkey
+      JOIN region ON n_regionkey = r_regionkey AND r_name IN ('ASIA', 'EUROPE', 'AFRICA')
+      WHERE s_acctbal > 0 OR s_acctbal IS NULL
+    )
+    SELECT 'dim_supplier' AS "table", 'row_count' AS "check", count(*) > 0 AS result,
+           CAST(count(*) = 0 AS BIGINT) AS n_failed FROM built
+    UNION ALL
+    SELECT 'dim_supplier', 'duplicate_records', count(*) = 0, count(*) FROM built
+    """,
+)
+def task_build_checked(spark, supplier, nation, region):
+    """A table built, written and checked; the second run adds its rows again, and the check finds them."""
+    sources = {"sales.supplier": supplier, "sales.nation": nation, "sales.region": region}
+    path = fresh_path(spark, "dim_supplier")
+    run_build(spark, CONFIG_LOAD, sources, path, RUN_TS)
+    return run_build(spark, {**CONFIG_LOAD, "write_disposition": "WRITE_APPEND"}, sources, path, RUN_TS)

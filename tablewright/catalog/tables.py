@@ -19,11 +19,13 @@ from tablewright.operators.upsert import insert_new as inserted
 from tablewright.operators.upsert import union_append as appended
 from tablewright.operators.upsert import update_from as updated
 from tablewright.operators.windows import analytic
-from tablewright.plans.loads import mapped_rows, run_load, type1_delta
+from tablewright.plans.loads import mapped_rows, publish_history, run_load, type1_delta
 from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
-from tablewright.session import stage
+from tablewright.plans.tasks import current_table
+from tablewright.session import fresh_path, stage
+from tablewright.sinks import versions
 from tablewright.sources.sql import run_sql
 
 # --- windows --------------------------------------------------------------------
@@ -474,27 +476,35 @@ def event_history_target(events: DataFrame) -> DataFrame:
     return stage(history_full(EVENT_HISTORY, {"events": early}, FIRST_LOAD, created=True), "target")
 
 
-@query(
-    "events",
-    oracle=f"""
-    WITH
-    {_MAPPED.format(where="WHERE ts < TIMESTAMP '2024-01-30'")},
-    touched AS (
-      SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-30'
-    )
-    SELECT p3.*,
-           CASE WHEN effective_from_dt < TIMESTAMP '2024-01-20' THEN TIMESTAMP '{FIRST_LOAD}'
-                ELSE TIMESTAMP '{RUN_TS}' END AS dw_created_dt,
-           CASE WHEN user_id IN (SELECT user_id FROM touched) THEN TIMESTAMP '{RUN_TS}'
-                ELSE TIMESTAMP '{FIRST_LOAD}' END AS dw_last_modified_dt
-    FROM p3
-    """,
-    open_ended=True,
+_DELTA_ORACLE = f"""
+WITH
+{_MAPPED.format(where="WHERE ts < TIMESTAMP '2024-01-30'")},
+touched AS (
+  SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-30'
 )
+SELECT p3.*,
+       CASE WHEN effective_from_dt < TIMESTAMP '2024-01-20' THEN TIMESTAMP '{FIRST_LOAD}'
+            ELSE TIMESTAMP '{RUN_TS}' END AS dw_created_dt,
+       CASE WHEN user_id IN (SELECT user_id FROM touched) THEN TIMESTAMP '{RUN_TS}'
+            ELSE TIMESTAMP '{FIRST_LOAD}' END AS dw_last_modified_dt
+FROM p3
+"""
+
+
+@query("events", oracle=_DELTA_ORACLE, open_ended=True)
 def scd2_delta(spark, events):
     return history_delta(EVENT_DELTA, {"events": events}, event_history_target(events), AS_OF, RUN_TS)
 
 
+@query("events", oracle=_DELTA_ORACLE, open_ended=True)
+def write_history_delta(spark, events):
+    """The same on disk, where only the buckets with a touched key are written anew."""
+    root, keys = fresh_path(spark, "history"), EVENT_DELTA.history_keys
+    versions.publish(event_history_target(events), root, keys, buckets=8, null_keys=True)
+    publish_history(root, EVENT_DELTA, {"events": events}, AS_OF, RUN_TS)
+    return versions.read_table(spark, root)
+
+
 @query(
     "events",
     oracle=f"""
@@ -592,6 +602,24 @@ def unnest_current(spark, orders):
     return found.select("results")
 
 
+@query(
+    "orders",
+    oracle=f"""
+    SELECT results FROM ({_UNNESTED})
+    QUALIFY row_number() OVER (PARTITION BY priority, season ORDER BY o_orderdate DESC, results DESC) = 1
+    """,
+)
+def task_current(spark, orders):
+    """The same, from the parameters of a task."""
+    given = {
+        "FROM": "arc_orders, unnest(parameters) params",
+        "KEY": "params.priority, params.season",
+        "EXCLUDE": ", priority, season, parameters",
+        "TIE_BREAK": "results",
+    }
+    return current_table({"params": given}, {"arc_orders": order_archive(orders)})
+
+
 @query(
     "lineitem",
     oracle="""

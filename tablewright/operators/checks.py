@@ -39,7 +39,8 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, and how often. Counted before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_times"))
+    return counted.where(F.col("_times") > 1).withColumnRenamed("_times", "n")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -137,10 +138,10 @@ def check_query(result: DataFrame, name: str = QUERY) -> DataFrame:
 
 def _keyed_checks(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Row count and duplicates from one aggregation by key."""
-    keyed = df.groupBy(*pk).agg(F.count("*").alias("n"))
+    keyed = df.groupBy(*pk).agg(F.count("*").alias("_times"))
     totals = keyed.agg(
         (F.count("*") == 0).cast("long").alias(ROW_COUNT),
-        F.count_if(F.col("n") > 1).alias(DUPLICATES),
+        F.count_if(F.col("_times") > 1).alias(DUPLICATES),
     )
     pairs = F.array(
         *[F.struct(F.lit(c).alias("check"), F.col(c).alias("n_failed")) for c in (ROW_COUNT, DUPLICATES)]

@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.filters import apply_where
 from tablewright.operators.history import build_history
@@ -32,6 +33,7 @@ from tablewright.plans.mapping import (
     TargetType,
 )
 from tablewright.session import stage as staged
+from tablewright.sinks.versions import change_buckets
 
 #: Prefix of columns that a history load needs on its way only.
 HIDDEN = "_hidden_"
@@ -134,6 +136,13 @@ def scd2_full(
     return _audited(built, mapping, run_ts, created)
 
 
+def touched_keys(mapping: Mapping, sources: Sources, as_of: datetime, params: Params | None = None) -> DataFrame:
+    """The history keys with a row in the extraction window, staged."""
+    lo, hi = delta_bounds(mapping.delta.lower_bound, mapping.delta.upper_bound, as_of, params)
+    rows = mapped_rows(mapping, sources, in_window(F.expr(mapping.delta.field), lo, hi))
+    return staged(rows.select(*mapping.history_keys).distinct(), "touched")
+
+
 def scd2_delta(
     mapping: Mapping,
     sources: Sources,
@@ -142,6 +151,7 @@ def scd2_delta(
     run_ts: str | datetime,
     params: Params | None = None,
     rows_per_task: int | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """The history with the rows of the extraction window worked in.
 
@@ -150,17 +160,16 @@ def scd2_delta(
     has of the key. So a row that repeats the value before the window is no
     change, and one that arrives late can also take known rows out. Rows that
     were there keep their time of creation. Null is a key like any other.
+    ``touched`` are those keys, if they have been staged already.
     """
     keys, pk, delta = mapping.history_keys, mapping.primary_keys, mapping.delta
     if not keys or not pk:
         raise ValueError(f"the incremental load of {mapping.target} needs history and primary keys")
-    lo, hi = delta_bounds(delta.lower_bound, delta.upper_bound, as_of, params)
-    field = F.expr(delta.field)
+    hi = delta_bounds(delta.lower_bound, delta.upper_bound, as_of, params)[1]
     # Only the window's end bounds what a key is computed from.
-    until_end = None if hi is None else field < hi
-    touched = staged(mapped_rows(mapping, sources, in_window(field, lo, hi)).select(*keys).distinct(), "touched")
+    until_end = None if hi is None else F.expr(delta.field) < hi
     # A small list of keys is broadcast, and the source is then not shuffled to find them.
-    touched = broadcast_if_small(touched)
+    touched = broadcast_if_small(touched_keys(mapping, sources, as_of, params) if touched is None else touched)
 
     def of_touched(df: DataFrame, how: str) -> DataFrame:
         return df.alias("rows").join(touched.alias("touched"), null_safe_on("rows", "touched", keys), how)
@@ -185,6 +194,33 @@ def _empty_target(mapping: Mapping, sources: Sources, run_ts: str | datetime) ->
     return found.sparkSession.createDataFrame([], found.schema)
 
 
+def publish_history(
+    root: str,
+    mapping: Mapping,
+    sources: Sources,
+    as_of: datetime,
+    run_ts: str | datetime,
+    params: Params | None = None,
+    buckets: int = 16,
+    batch: int | None = None,
+) -> bool:
+    """Work the extraction window into the history at ``root``, which lies in buckets by history key.
+
+    Only the buckets that hold a touched key are read and written; the others
+    keep their files. A table that is not there yet begins empty; with a ``batch``
+    number, a batch that is already in the table is left out. Returns whether
+    there was a change.
+    """
+    schema = _empty_target(mapping, sources, run_ts).schema
+    keys = T.StructType([schema[k] for k in mapping.history_keys])
+    touched = conform(touched_keys(mapping, sources, as_of, params), keys)
+
+    def renew(state: DataFrame, touched: DataFrame) -> DataFrame:
+        return scd2_delta(mapping, sources, state, as_of, run_ts, params, touched=touched)
+
+    return change_buckets(root, touched, mapping.history_keys, renew, schema, buckets, batch, null_keys=True)
+
+
 def run_load(
     mapping: Mapping,
     sources: Sources,

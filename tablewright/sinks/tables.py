@@ -17,7 +17,7 @@ def _beside(path: str, label: str) -> str:
     return f"{folder}/_{name}-{label}"
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a table, after a replacement that broke off has been undone."""
     target, system = filesystem(spark, path)
     if system.exists(target):
@@ -28,7 +28,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The table at ``path``; the old one, if its replacement broke off half way."""
-    _path_exists(spark, path)
+    exists(spark, path)
     return spark.read.parquet(path)
 
 
@@ -57,7 +57,7 @@ def _replace(df: DataFrame, path: str) -> None:
 
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Create an empty table unless there is one; whether it was created."""
-    if _path_exists(spark, path):
+    if exists(spark, path):
         return False
     spark.createDataFrame([], schema).write.parquet(path)
     return True
@@ -74,7 +74,7 @@ def write(df: DataFrame, path: str, disposition: str | Disposition = Disposition
     if disposition is Disposition.DELETE:
         truncate(spark, path)
         return
-    if disposition is not Disposition.TRANSIENT and _path_exists(spark, path):
+    if disposition is not Disposition.TRANSIENT and exists(spark, path):
         df = conform(df, read(spark, path).schema)
     if disposition is Disposition.APPEND:
         df.write.mode("append").parquet(path)

@@ -63,11 +63,11 @@ def _read(spark: SparkSession, entries: list, schema: T.StructType | None) -> Da
     return reader.parquet(*[e.path for e in entries])
 
 
-def _bucket_of(df: DataFrame, pk: Sequence[str], buckets: int) -> Column:
-    """Bucket by key; rows without a full key match nothing and may go anywhere."""
+def _bucket_of(df: DataFrame, pk: Sequence[str], buckets: int, null_keys: bool = False) -> Column:
+    """Bucket by key; rows without a full key match nothing and may go anywhere, unless null is a key."""
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
     by_key = F.xxhash64(*[F.col(f"`{k}`") for k in pk])
-    hashed = F.when(any_null(pk), F.xxhash64(*plain)).otherwise(by_key)
+    hashed = by_key if null_keys else F.when(any_null(pk), F.xxhash64(*plain)).otherwise(by_key)
     return F.pmod(hashed, F.lit(buckets)).cast("int")
 
 
@@ -80,11 +80,12 @@ def _write_version(
     kept: Sequence = (),
     batch: int | None = None,
     rebalance: bool = True,
+    null_keys: bool = False,
 ) -> None:
     """Write the rows of a version and commit it together with the kept buckets."""
     spark = df.sparkSession
     data = f"{root}/data/v={version}"
-    rows = df.withColumn(BUCKET, _bucket_of(df, pk, buckets))
+    rows = df.withColumn(BUCKET, _bucket_of(df, pk, buckets, null_keys))
     if rebalance:
         # Adaptive execution brings each bucket together in files of its target
         # size and splits buckets that are large.
@@ -101,14 +102,14 @@ def _write_version(
     log.write.mode("overwrite").json(f"{root}/log/{version}")
 
 
-def publish(df: DataFrame, root: str, pk: Sequence[str], buckets: int = 16) -> None:
+def publish(df: DataFrame, root: str, pk: Sequence[str], buckets: int = 16, null_keys: bool = False) -> None:
     """Replace the table. It may be read in ``df``: its files are left alone.
 
     A bucket should come to some gigabytes. Publishing a table read from itself
     compacts the small files that upserts leave.
     """
     version = current_version(df.sparkSession, root) + 1
-    _write_version(df, root, version, pk, buckets)
+    _write_version(df, root, version, pk, buckets, null_keys=null_keys)
 
 
 def change_buckets(
@@ -120,13 +121,15 @@ def change_buckets(
     buckets: int = 16,
     batch: int | None = None,
     rebalance: bool = True,
+    null_keys: bool = False,
 ) -> bool:
     """Rewrite the buckets that hold a key of the stage.
 
     ``change`` gets the rows of those buckets and the stage, and returns the new
     rows of the buckets. With a ``batch`` number, a batch that is already in the
     table is left out. Without ``rebalance`` the new rows are written by the
-    tasks that make them. Returns whether there was a change.
+    tasks that make them. With ``null_keys`` null is a key like any other. Returns
+    whether there was a change.
     """
     spark = stage.sparkSession
     version = current_version(spark, root)
@@ -135,14 +138,14 @@ def change_buckets(
         return False
     buckets = entries[0].buckets if entries else buckets
     touched = {
-        row[0] for row in stage.select(_bucket_of(stage, pk, buckets)).distinct().collect()
+        row[0] for row in stage.select(_bucket_of(stage, pk, buckets, null_keys)).distinct().collect()
     }  # at most one row per bucket
     if not touched:
         return False
     state = _read(spark, [e for e in entries if e.bucket in touched], schema)
     kept = [e for e in entries if e.bucket not in touched]
     new = change(state, stage)
-    _write_version(new, root, version + 1, pk, buckets, kept, batch, rebalance)
+    _write_version(new, root, version + 1, pk, buckets, kept, batch, rebalance, null_keys)
     return True
 
 

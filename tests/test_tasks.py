@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from tablewright.plans.tasks import build_table, check_table, load_files
+from tablewright.plans.tasks import build_table, check_table, current_table, load_files, run_build
 from tests.helpers import rows, ts
 
 NOW = "2024-02-01 00:00:00"
@@ -66,3 +66,39 @@ def test_checks(spark):
     assert verdict(spark, tables, check="new_value", params=given) == ("new_value", False, 1)
     with pytest.raises(ValueError, match="freshness"):
         verdict(spark, tables, check="freshness", params={"FROM": "t"})
+
+
+ITEMS = {
+    "destination_table": "t",
+    "driving_table": "numbers",
+    "source_to_target": [{"name": "n", "source_column": "id", "pk": True}],
+}
+
+
+def test_build_from_start_to_finish(spark, tmp_path):
+    path, sources = str(tmp_path / "t"), {"numbers": spark.range(3)}
+    verdicts = lambda found: {r["check"]: r["result"] for r in found.collect()}
+    good = {"row_count": True, "duplicate_records": True}
+    assert verdicts(run_build(spark, ITEMS, sources, path, NOW)) == good
+    assert verdicts(run_build(spark, ITEMS, sources, path, NOW)) == good and spark.read.parquet(path).count() == 3
+    again = run_build(spark, {**ITEMS, "write_disposition": "WRITE_APPEND"}, sources, path, NOW)
+    assert verdicts(again) == {"row_count": True, "duplicate_records": False}
+    assert verdicts(run_build(spark, {**ITEMS, "block_data_check": True}, sources, path, NOW)) == {}
+    assert verdicts(run_build(spark, {**ITEMS, "write_disposition": "DELETE"}, sources, path, NOW)) == {}
+    assert spark.read.parquet(path).count() == 0
+    by_sql = {"destination_table": "u", "sql": "select * from {numbers} where id > 9"}
+    assert verdicts(run_build(spark, by_sql, sources, str(tmp_path / "u"), NOW)) == {"row_count": False}
+
+
+def test_current_rows_from_parameters(spark):
+    archive = spark.sql(
+        """select v, a, 'f' as file_name, d as file_dt, d as load_dt
+           from values (1, array('x', 'y'), 1), (2, array('y'), 2), (3, array(), 3) as t(v, a, d)"""
+    )
+    tables = {"arc": archive}
+    plain = {"FROM": "arc", "KEY": "size(a)", "EXCLUDE": ",a"}
+    assert rows(current_table({"params": plain}, tables)) == [(1,), (2,), (3,)]
+    nested = {"FROM": "arc, unnest(a) letter", "KEY": "letter", "EXCLUDE": ",a"}
+    assert rows(current_table({"params": nested}, tables)) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="FROM"):
+        current_table({"params": {"FROM": "arc join other", "KEY": "v"}}, tables)
