@@ -35,10 +35,14 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     return spark.createDataFrame(rows, "verdict string, host string, path string")
 
 
-def host_of(url: Column) -> Column:
-    host = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
+def _lower(host: Column) -> Column:
+    """A-Z in lower case, and nothing else, for urls and rules alike."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.coalesce(F.translate(host, letters, letters.lower()), F.lit(""))
+    return F.translate(host, letters, letters.lower())
+
+
+def host_of(url: Column) -> Column:
+    return F.coalesce(_lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
@@ -74,7 +78,7 @@ def _prefixes(path: Column, lengths: Sequence[int]) -> Column:
 def verdicts(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """Per distinct url: ``url``, ``host``, ``path``, ``rule`` and ``verdict``."""
     rules = rules.where("host is not null and verdict is not null").select(
-        F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict"
+        _lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict"
     )
     # Distinct lengths of what the rules are made of: a few dozen numbers however long the list is.
     labels = [r[0] for r in rules.select(F.size(F.split("host", r"\.", -1))).distinct().collect()]
