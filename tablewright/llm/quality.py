@@ -53,6 +53,8 @@ SIGNALS = {
     "upper": ("n_upper", "n_letters"),
     "shouts": ("n_shouts", "n_words"),
 }
+#: Standard deviations below the failures counted, within which terms of the exact bound are summed.
+TAIL = 12
 #: Cutoffs from the most lenient to the strictest; a rate above its cutoff is rejected.
 GRID = (0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05)
 
@@ -125,12 +127,16 @@ def signal(m: Column, name: str) -> Column:
 
 
 def upper_bound(failures: int, trials: int, error: float) -> float:
-    """The exact upper confidence bound of a rate, one-sided (Clopper and Pearson)."""
+    """The exact upper confidence bound of a rate, one-sided (Clopper and Pearson), for an ``error`` below one half.
+
+    The bound lies above the observed rate, where the probability of fewer failures falls off like a normal tail, so
+    the terms beyond ``TAIL`` standard deviations are below the precision of a double, however many trials there are.
+    """
     if failures >= trials:
         return 1.0
-    k = np.arange(failures + 1)
+    k = np.arange(max(0, failures - int(TAIL * math.sqrt(failures + 1))), failures + 1)
     ways = math.lgamma(trials + 1) - np.array([math.lgamma(i + 1) + math.lgamma(trials - i + 1) for i in k])
-    low, high = 0.0, 1.0
+    low, high = failures / trials, 1.0
     for _ in range(60):
         p = (low + high) / 2
         logs = ways + k * math.log(p) + (trials - k) * math.log1p(-p)
