@@ -39,15 +39,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def deal(rows: DataFrame, label: str, by: str, bound: int) -> tuple[DataFrame, dict]:
-    """At most ``bound`` rows of each ``label``, those with the smallest hash of ``by``; the counts of all.
+    """At most ``bound`` different rows of each ``label``, those with the smallest hash of ``by``; the counts of all.
 
-    A first cut on the hash leaves about twice the bound, so little is sorted.
+    A first cut on the hash leaves about twice the bound, so little is sorted. It goes by the number of different
+    values of ``by``, so a corpus of few values in many copies is not cut down to nothing.
     """
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    stats = rows.groupBy(label).agg(F.count("*").alias("n"), F.approx_count_distinct(by).alias("values")).collect()
     order = F.xxhash64(by, F.lit(17))
     near = F.lit(False)
-    for value, n in counts.items():
-        limit = int((min(1.0, 2 * bound / n) * 2 - 1) * (1 << 62))
-        near = near | (F.col(label).eqNullSafe(F.lit(value)) & (F.shiftright(order, 1) <= limit))
-    nth = F.row_number().over(Window.partitionBy(label).orderBy(order, by))
-    return rows.where(near).withColumn("_nth", nth).where(F.col("_nth") <= bound).drop("_nth"), counts
+    for r in stats:
+        limit = int((min(1.0, 2 * bound / max(1, r["values"])) * 2 - 1) * (1 << 62))
+        near = near | (F.col(label).eqNullSafe(F.lit(r[label])) & (F.shiftright(order, 1) <= limit))
+    nth = F.row_number().over(Window.partitionBy(label).orderBy(order, *rows.columns))
+    picked = rows.where(near).distinct().withColumn("_nth", nth).where(F.col("_nth") <= bound).drop("_nth")
+    return picked, {r[label]: r["n"] for r in stats}
