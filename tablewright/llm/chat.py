@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 TURNS = "array<struct<role:string,text:string>>"
 LEARNED = "assistant"
+#: Turns whose places are summed up together.
+BLOCK = 256
 BOS, EOS, OPEN, CLOSE = "<s>", "</s>", "[INST]", "[/INST]"
 
 #: Names that layouts use for the canonical roles.
@@ -142,6 +144,22 @@ def canonical(records: DataFrame, record: str, layouts: Sequence[Layout] = LAYOU
     return rows.select(*records.columns, name.alias("layout"), turns.alias("turns"))
 
 
+def _running(first: Column, sizes: Column) -> Column:
+    """``first``, and the sums of it and the sizes up to each. Quadratic, as arrays are copied: for short arrays."""
+    return F.aggregate(sizes, F.array(first), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
+
+
+def _starts(sizes: Column) -> Column:
+    """Where each piece begins: sums within blocks of ``BLOCK`` pieces, from the sums of the blocks before."""
+    count = F.greatest(F.ceil(F.size(sizes) / BLOCK) - 1, F.lit(0)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count), lambda k: F.slice(sizes, k * BLOCK + 1, BLOCK))
+    zero = F.lit(0).cast("long")
+    totals = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, n: a + n))
+    # One start more than blocks, and in every block one more than pieces.
+    firsts = F.slice(_running(zero, totals), 1, F.size(totals))
+    return F.flatten(F.zip_with(blocks, firsts, lambda b, at: F.slice(_running(at, b), 1, F.size(b))))
+
+
 def formatted(rows: DataFrame, turns: str = "turns") -> DataFrame:
     """``rows`` with the text ``formatted`` and its ``loss_mask`` (spans in characters)."""
     head, tail = f"{BOS}{OPEN} ", EOS
@@ -156,23 +174,20 @@ def formatted(rows: DataFrame, turns: str = "turns") -> DataFrame:
     )
     rows = rows.withColumn("_pieces", piece)
     whole = F.array_join(F.transform("_pieces", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
-    span = lambda p, at: F.struct(
-        (at + F.length(p["head"])).cast("long").alias("start"),
-        (at + F.length(p["head"]) + F.length(p["body"])).cast("long").alias("end"),
-        p["learned"].alias("learned"),
-    )
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,learned:boolean>>")
-    spans = F.aggregate(
+    sizes = F.transform("_pieces", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(tail)).cast("long"))
+    rows = rows.withColumn("_starts", _starts(sizes))
+    spans = F.zip_with(
         "_pieces",
-        empty,
-        lambda done, p: F.concat(
-            done,
-            F.array(span(p, F.coalesce(F.get(done, F.size(done) - 1)["end"] + len(tail), F.lit(0).cast("long")))),
+        "_starts",
+        lambda p, at: F.struct(
+            (at + F.length(p["head"])).alias("start"),
+            (at + F.length(p["head"]) + F.length(p["body"])).alias("end"),
+            p["learned"].alias("learned"),
         ),
     )
     learned = F.transform(F.filter(spans, lambda s: s["learned"]), lambda s: F.struct(s["start"], s["end"]))
     return rows.select(
-        *[c for c in rows.columns if c != "_pieces"], whole.alias("formatted"), learned.alias("loss_mask")
+        *[c for c in rows.columns if c not in ("_pieces", "_starts")], whole.alias("formatted"), learned.alias("loss_mask")
     )
 
 

@@ -153,6 +153,8 @@ def test_exact_bound():
         tail = sum(comb(trials, k) * p**k * (1 - p) ** (trials - k) for k in range(failures + 1))
         assert abs(tail - error) < 1e-6
     assert quality.upper_bound(5, 5, 0.05) == 1.0
+    # Many trials: near the normal approximation, from a bounded number of terms.
+    assert abs(quality.upper_bound(9_000_000, 1_000_000_000, 0.001) - 0.009 - 3.09 * (0.009 * 0.991 / 1e9) ** 0.5) < 1e-7
 
 
 def test_certified_cutoffs_reject_bad_and_keep_good(spark):
@@ -215,6 +217,13 @@ def test_edited_items_are_found_and_others_are_not(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_samples_of_few_texts_in_many_copies(spark):
+    """The sample has every text once, however often each occurs."""
+    texts = spark.range(6000).select(F.concat(F.lit("text "), (F.col("id") % 3).cast("string")).alias("text"))
+    assert secrets.sample(texts, bound=5) == ["text 0", "text 1", "text 2"]
+    assert len(secrets.sample(spark.range(6000).select(F.col("id").cast("string").alias("text")), bound=50)) == 50
+
+
 def test_secrets_go_and_the_rest_stays(spark):
     plain = "Die Bestellung 4411223344556677 vom 2024-01-02 liegt unter www.example.com/en/products/list/2231 bereit."
     secret = "3f786850e387550fdab836ed7e6dc881de23001b"
@@ -264,6 +273,15 @@ def test_chat_reads_back(spark):
     assert {r["conv_id"]: r["t"] for r in learned.collect()} == expected
 
 
+def test_loss_mask_of_a_long_conversation(spark):
+    """20,000 turns, many blocks of them: the spans are where the turns lie."""
+    role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+    turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("é<s>"), F.col("id").cast("string")).alias("text"))  # noqa: E501
+    done = chat.formatted(chat.canonical(chat.records_from_rows(turns), "record")).first()
+    spans = [done["formatted"][s["start"] : s["end"]] for s in done["loss_mask"]]
+    assert spans == [f"é\\ls>{i}" for i in range(20_000) if i % 3]
+
+
 def test_layouts(spark):
     given = [
         ('{"prompt": "p", "response": "r"}', "prompt_response", [("user", "p"), ("assistant", "r")]),
