@@ -144,8 +144,8 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     pair = f'{{"prompt": "{HOSTILE_TEXT}", "response": "{HOSTILE_TEXT}"}}'
     hostile = spark.range(1).select(F.lit(HOSTILE_ID).cast("long").alias("conv_id"), F.lit(pair).alias("record"))
-    records = chat.records_from_rows(rows).unionByName(hostile)
-    done = chat.formatted(chat.canonical(records, "record"))
+    known = [chat.canonical(records, "record").drop("record") for records in (chat.records_from_rows(rows), hostile)]
+    done = chat.formatted(known[0].unionByName(known[1]))
     turns = chat.read_back(F.col("formatted"))
     joined = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join(chat.under_mask(F.col("formatted"), F.col("loss_mask")), "")

@@ -1,8 +1,10 @@
 r"""Chat records of different layouts, as one kind of text with a loss mask.
 
-A record is JSON. Its nested field paths, without its values, are its schema; a hash of them is its fingerprint,
-and the fingerprint selects a declarative mapping (:data:`LAYOUTS`) to turns of role and text. Turns are
-written with a template::
+A record is a struct or JSON. Its nested field paths, without its values, are its schema; a hash of them is its
+fingerprint, and the fingerprint selects a declarative mapping (:data:`LAYOUTS`) to turns of role and text. A struct
+is taken by its declared schema and stays in native columns, whatever its size. JSON is parsed; a text that is long
+enough for the limits of Spark's parser (strings of 20,000,000 characters, records of 128 MiB) and cannot be parsed
+fails the job. Turns are written with a template::
 
     <s>[INST] role [/INST] text</s>
 
@@ -23,11 +25,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TURNS = "array<struct<role:string,text:string>>"
 LEARNED = "assistant"
 #: Turns whose places are summed up together.
 BLOCK = 256
+#: Shorter JSON texts (in bytes) meet no limit of size in Spark's parser: what it does not take is not JSON.
+PARSED_BYTES = 20_000_000
 BOS, EOS, OPEN, CLOSE = "<s>", "</s>", "[INST]", "[/INST]"
 
 #: Names that layouts use for the canonical roles.
@@ -94,12 +99,27 @@ def shape(record: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(record), kinds, "_")
 
 
+def _declared(kind: T.DataType) -> str:
+    """The schema text of a type, as :func:`shape` gives it for a parsed record."""
+    if isinstance(kind, T.StructType):
+        return f"OBJECT<{', '.join(f'{f.name}: {_declared(f.dataType)}' for f in sorted(kind, key=lambda f: f.name))}>"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{_declared(kind.elementType)}>"
+    return "MAP" if isinstance(kind, T.MapType) else "_"
+
+
 def fingerprint(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def _turns(layout: Layout, record: Column) -> Column:
-    """The canonical turns of a record of the given layout."""
+def _turns(layout: Layout, record: Column, native: bool) -> Column:
+    """The canonical turns of a record of the given layout, from its fields or from a parsed record."""
+    if layout.each and native:
+        path, role, text = layout.each
+        rows = F.coalesce(F.filter(record[path], lambda t: t.isNotNull()), F.array())
+        return F.transform(rows, lambda t: _turn(t[role].cast("string"), t[text].cast("string"), layout.rename))
+    if native:
+        return F.array(*[_turn(F.lit(role), record[field].cast("string")) for role, field in layout.single])
     if layout.each:
         path, role, text = layout.each
         kind = f"array<struct<`{role}`:string,`{text}`:string>>"
@@ -133,14 +153,23 @@ def unescape(text: Column) -> Column:
 
 
 def canonical(records: DataFrame, record: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
-    """``records`` with ``layout`` and ``turns``, by the fingerprint of the JSON in column ``record``."""
-    parsed = F.try_parse_json(F.col(f"`{record}`"))
-    rows = records.withColumn("_parsed", parsed).withColumn("_print", fingerprint(shape(F.col("_parsed"))))
+    """``records`` with ``layout`` and ``turns``, by the fingerprint of column ``record``: a struct, or JSON."""
+    column, kind = F.col(f"`{record}`"), records.schema[record].dataType
+    native = isinstance(kind, T.StructType)
+    if native:
+        # One schema holds for all rows, so only the layouts that fit it can be read from them.
+        fitting = [layout for layout in layouts if _shape(layout.fields) == _declared(kind)]
+        rows = records.withColumn("_parsed", column).withColumn("_print", F.when(column.isNotNull(), fingerprint(F.lit(_declared(kind)))))
+    else:
+        # What is long enough for the parser's limits and gives null is parsed again by the function that fails.
+        parsed = F.coalesce(F.try_parse_json(column), F.when(F.octet_length(column) >= PARSED_BYTES, F.parse_json(column)))
+        fitting = layouts
+        rows = records.withColumn("_parsed", parsed).withColumn("_print", fingerprint(shape(F.col("_parsed"))))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for layout in reversed(layouts):
+    for layout in reversed(fitting):
         own = F.col("_print") == fingerprint(F.lit(_shape(layout.fields)))
         name = F.when(own, layout.name).otherwise(name)
-        turns = F.when(own, _turns(layout, F.col("_parsed"))).otherwise(turns)
+        turns = F.when(own, _turns(layout, F.col("_parsed"), native)).otherwise(turns)
     return rows.select(*records.columns, name.alias("layout"), turns.alias("turns"))
 
 
@@ -222,13 +251,13 @@ def under_mask(formatted_text: Column, mask: Column) -> Column:
 def records_from_rows(
     rows: DataFrame, id_column: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """One record of the layout ``messages`` per conversation, from a table with a row per turn."""
+    """One record (a struct) of the layout ``messages`` per conversation, from a table with a row per turn."""
     message = F.struct(
         F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("content"),
     )
     ordered = F.array_sort(F.collect_list(message))
-    messages = F.transform(ordered, lambda m: F.struct(m["role"], m["content"]))
+    messages = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     grouped = rows.groupBy(F.col(f"`{id_column}`")).agg(messages.alias("messages"))
-    return grouped.select(id_column, F.to_json(F.struct("messages")).alias("record"))
+    return grouped.select(id_column, F.struct("messages").alias("record"))

@@ -282,6 +282,32 @@ def test_loss_mask_of_a_long_conversation(spark):
     assert spans == [f"é\\ls>{i}" for i in range(20_000) if i % 3]
 
 
+def test_a_turn_longer_than_parsed_strings(spark):
+    turns = spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"))
+    turns = turns.withColumn("text", F.repeat(F.lit("x"), 20_000_001))
+    done = chat.formatted(chat.canonical(chat.records_from_rows(turns), "record"))
+    found = done.select("layout", F.size("turns").alias("n"), F.length("formatted").alias("size")).first()
+    assert (found["layout"], found["n"], found["size"]) == ("messages", 1, 20_000_001 + 23 + 4)
+    long = turns.select(F.to_json(F.struct(F.col("role").alias("prompt"), F.col("text").alias("response"))).alias("record"))
+    with pytest.raises(Exception, match="(?i)MALFORMED_RECORD|VARIANT"):
+        chat.canonical(long, "record").select("layout", F.size("turns")).collect()
+
+
+def test_layouts_of_structs(spark):
+    rows = spark.createDataFrame(
+        [(1, ([("gpt", "a"), None, (None, "b")],)), (2, (None,)), (3, None)],
+        "id int, record struct<conversations:array<struct<from:string,value:string>>>",
+    )
+    found = {r["id"]: r for r in chat.canonical(rows, "record").collect()}
+    assert [tuple(t) for t in found[1]["turns"]] == [("assistant", "a"), ("", "b")]
+    assert (found[2]["layout"], found[2]["turns"]) == ("conversations", [])
+    assert (found[3]["layout"], found[3]["turns"]) == (None, None)
+    pair = spark.range(1).select(F.struct(F.lit("q").alias("prompt"), F.lit(5).alias("response")).alias("record"))
+    assert [tuple(t) for t in chat.canonical(pair, "record").first()["turns"]] == [("user", "q"), ("assistant", "5")]
+    other = spark.range(1).select(F.struct("id").alias("record"))
+    assert chat.canonical(other, "record").first()["layout"] is None
+
+
 def test_layouts(spark):
     given = [
         ('{"prompt": "p", "response": "r"}', "prompt_response", [("user", "p"), ("assistant", "r")]),
