@@ -126,11 +126,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     known = labels.where(F.col(id_column).isNotNull()).groupBy(id_column)
     known = known.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     known = known.select(id_column, domain.alias("domain")).where("domain is not null")
-    picked, counts = deal(known, "domain", id_column, PER_DOMAIN)
-    texts = docs.select(F.col(id_column), F.col(f"`{text}`").alias("text"))
-    # At most PER_DOMAIN rows of each domain: small enough to send, whatever the size of the tables.
-    rows = texts.join(F.broadcast(picked), id_column).select("domain", id_column, "text").collect()
-    rows = sorted({(r["domain"], r[id_column], r["text"] or "") for r in rows})
+    # Only documents that are here: earlier stages may have taken most of a domain. Of the rows of an id each counts,
+    # as each is mixed.
+    ids = docs.select(F.col(id_column)).where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.count("*").alias("n_rows"))
+    present = stage(known.join(ids, id_column), "labelled")
+    counts = {r["domain"]: r["n"] for r in present.groupBy("domain").agg(F.sum("n_rows").alias("n")).collect()}
+    picked, _ = deal(present.select(id_column, "domain"), "domain", id_column, PER_DOMAIN)
+    texts = docs.select(F.col(id_column), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    # At most PER_DOMAIN ids of each domain: small enough to send, whatever the size of the tables. An id may come in
+    # several rows, so equal ones go before they are sent.
+    rows = texts.join(F.broadcast(picked), id_column).select("domain", id_column, "text").distinct().collect()
+    rows = sorted((r["domain"], r[id_column], r["text"]) for r in rows)
     if not rows:
         return None
     shares = np.array([counts.get(k, 0) for k in range(len(DOMAINS))], float)

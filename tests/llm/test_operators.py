@@ -195,6 +195,18 @@ def test_rates_meet_the_targets(spark):
     assert found.where(F.abs(F.col("copies") - F.col("rate")) >= 1).count() == 0
 
 
+def test_shares_of_domains_are_those_of_the_documents_here(spark):
+    """Labels of documents that earlier stages took do not count: of those here one in ten is poor."""
+    draw = random.Random(6)
+    texts = [(i, " ".join(draw.choices(["corn", "rain", "wind", "hill", "road"], k=30))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    here = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 10 > 0).cast("int").alias("quality"))
+    gone = spark.range(1000, 5000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"))
+    predict = mixing.posterior(mixing.learn(docs, here.union(gone).withColumn("toxic", F.lit(0))))
+    found = docs.select(predict(F.col("text")).alias("d")).select("d.*")
+    assert abs(found.agg(F.avg("p_poor")).first()[0] - 0.1) < 0.08
+
+
 def test_edited_items_are_found_and_others_are_not(spark):
     draw = random.Random(9)
     vocabulary = [f"v{i}" for i in range(2000)]
