@@ -7,7 +7,9 @@ how much of it dictionary words cover, whether it is part of a path, and the wor
 
 It learns from labelled findings: a table of texts with a marked span and a label. :func:`labelled_findings` makes
 one by putting known secrets and known harmless strings into ``SAMPLE`` texts of the corpus, at most, dealt by
-a hash of the text. Dictionary and transitions come from the same sample.
+a hash of the text. Only the findings come from a sample. Transitions are those of all byte pairs of the corpus.
+The dictionary is all words of four or more letters outside candidates, of all documents; it stays a table, and
+those letter runs of candidates that hold its words are found by a join (:func:`coverage`).
 
 Null and empty texts have no candidates. An empty corpus gives no findings. Repeated texts are scanned alike.
 A candidate that overlaps a longer one is part of it.
@@ -19,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,12 +31,16 @@ from pyspark.sql import functions as F
 from tablewright.llm.forest import Forest, grow
 from tablewright.llm.frames import deal, fresh_name, per_text, small_batches
 from tablewright.llm.text import Chunk, chunks
+from tablewright.session import stage
 
 MIN_RUN = 16
 THRESHOLD = 0.5
-#: The bound of the sample of texts, and of the dictionary.
+#: The bound of the sample of texts for labelled findings.
 SAMPLE = 400
-DICTIONARY = 20_000
+#: The longest words that are looked for in candidates.
+LONGEST = 16
+#: Words that a task holds, and rows that it hands over at once.
+HELD = 100_000
 FOUND = "array<struct<start:long,length:long,kind:string,score:double>>"
 MARK = b"[REDACTED]"
 
@@ -43,6 +50,9 @@ _ASSIGNED = re.compile(
     rb"([^\s\"',;]{6,})"
 )
 _BLOCK = re.compile(rb"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?-----END [A-Z ]{0,40}PRIVATE KEY-----", re.S)
+#: Every text with a candidate matches, others may.
+_MAYBE = r"[A-Za-z0-9+/_-]{%d}|-----BEGIN|(?i:%s)" % (MIN_RUN, "|".join(n.decode() for n in _NAMES))
+_LETTERS = re.compile(rb"[a-z]{4,}")
 _KIND = np.full(256, 4, np.int64)
 _KIND[0x30:0x3A], _KIND[0x41:0x5B], _KIND[0x61:0x7B] = 0, 1, 2
 _KIND[[0x2B, 0x2F, 0x2D, 0x5F]] = 3
@@ -78,38 +88,111 @@ def _candidates(c: Chunk) -> Iterator[tuple[int, int, int, str]]:
                 reach = e
 
 
-@dataclass(frozen=True)
-class Language:
-    """What the corpus usually writes: log frequencies of byte pairs, and words."""
+def _parts(raw: bytes, begin: int, end: int) -> list[str]:
+    """The runs of four or more letters of a candidate."""
+    return [p.decode() for p in _LETTERS.findall(raw[begin : min(end, begin + 4096)].lower())]
+
+
+def _pieces(part: str) -> Iterator[str]:
+    """What of a run of letters could be a word."""
+    for at in range(len(part) - 3):
+        for size in range(4, min(LONGEST, len(part) - at) + 1):
+            yield part[at : at + size]
+
+
+def covered(part: str, words: set[str] | frozenset[str]) -> int:
+    """How many letters of ``part`` are in words, the longest first, from the left."""
+    done = at = 0
+    while at < len(part) - 3:
+        size = next((n for n in range(min(LONGEST, len(part) - at), 3, -1) if part[at : at + n] in words), 0)
+        done += size
+        at += size or 1
+    return done
 
-    pairs: np.ndarray
-    words: frozenset[str]
-
-    def coverage(self, text: str) -> float:
-        """The share of the letters of ``text`` in dictionary words of four or more letters."""
-        covered = 0
-        for part in re.findall(r"[a-z]{4,}", text.lower()):
-            at = 0
-            while at < len(part) - 3:
-                size = next((n for n in range(min(16, len(part) - at), 3, -1) if part[at : at + n] in self.words), 0)
-                covered += size
-                at += size or 1
-        return covered / max(1, len(text))
-
-
-def learn_language(texts: list[str]) -> Language:
-    pairs, words = np.ones((256, 256)), Counter()
-    for c in chunks(texts):
-        data = c.data.astype(np.int64)
-        pairs += np.bincount(data[:-1] * 256 + data[1:], minlength=65536).reshape(256, 256)
-    for text in texts:
-        words.update(re.findall(r"[a-z]{4,}", text.lower()))
-    usual = sorted(words.items(), key=lambda w: (-w[1], w[0]))[:DICTIONARY]
-    return Language(np.log(pairs / pairs.sum(axis=1, keepdims=True)), frozenset(w for w, _ in usual))
 
+STATISTICS = "word string, cell int, key string, start long, part string, n long"
 
-def features(raw: bytes, begin: int, end: int, language: Language) -> list[float]:
-    """What the forest sees of a candidate."""
+
+def _frame(**columns: list) -> pd.DataFrame:
+    size = len(next(iter(columns.values())))
+    names = [c.split()[0] for c in STATISTICS.split(", ")]
+    return pd.DataFrame({c: pd.Series(columns.get(c, [None] * size), dtype=object) for c in names})
+
+
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words outside candidates, letter runs of candidates by text and place, and sums of byte pairs of a task."""
+    pairs, words = np.zeros(65536, np.int64), set()
+    for batch in batches:
+        texts, keys, runs = batch["text"].tolist(), batch["key"].tolist(), []
+        for c in chunks(texts):
+            data = c.data.astype(np.int64)
+            pairs += np.bincount(data[:-1] * 256 + data[1:], minlength=65536)
+            spans: dict[int, list] = {}
+            for t, b, e, _ in _candidates(c):
+                spans.setdefault(t, []).append((b, e))
+            for t, raw in enumerate(c.texts):
+                at, outside = 0, []
+                for b, e in spans.get(t, ()):
+                    outside.append(raw[at:b])
+                    at = max(at, e)
+                    runs.extend((keys[c.first + t], b, p, n) for p, n in Counter(_parts(raw, b, e)).items())
+                outside.append(raw[at:])
+                words.update(w for w in _LETTERS.findall(b" ".join(outside).lower()) if len(w) <= LONGEST)
+            if len(words) > HELD:
+                yield _frame(word=[w.decode() for w in words])
+                words = set()
+        for i in range(0, len(runs), HELD):
+            key, start, part, n = zip(*runs[i : i + HELD], strict=True)
+            yield _frame(key=list(key), start=list(start), part=list(part), n=list(n))
+    yield _frame(word=[w.decode() for w in words])
+    cells = np.flatnonzero(pairs)
+    yield _frame(cell=cells.tolist(), n=pairs[cells].tolist())
+
+
+def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Words, letter runs of candidates and byte pairs of all documents, staged."""
+    rows = docs.select(F.col(f"`{text}`").alias("text"), _key(F.col(f"`{text}`")).alias("key"))
+    return stage(rows.mapInPandas(_gather, STATISTICS), "language")
+
+
+def _key(text: Column) -> Column:
+    """Equal texts have equal keys; null texts have keys of their own, so that they do not meet in one task."""
+    return F.coalesce(F.sha2(text, 256), F.monotonically_increasing_id().cast("string"))
+
+
+def transitions(found: DataFrame) -> np.ndarray:
+    """Log frequencies of byte pairs by first byte: at most 65,536 sums come to the driver."""
+    pairs = np.ones(65536)
+    for r in found.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        pairs[r["cell"]] += r["n"]
+    pairs = pairs.reshape(256, 256)
+    return np.log(pairs / pairs.sum(axis=1, keepdims=True))
+
+
+def coverage(found: DataFrame) -> DataFrame:
+    """Per text (``key``) the places of candidates and how many of their letters are in dictionary words."""
+    words = found.where("word is not null").select("word").distinct()
+    runs = found.where("part is not null").select("key", "start", "part", "n").distinct()
+    runs = runs.withColumn("id", F.md5("part"))
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((i, p) for batch in batches for i, part in zip(batch["id"], batch["part"], strict=True) for p in _pieces(part))
+        while block := list(islice(rows, HELD)):
+            yield pd.DataFrame(block, columns=["id", "word"])
+
+    def count(parts: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([covered(p, set(k)) for p, k in zip(parts, known, strict=True)], dtype="int64")
+
+    parts = runs.select("id", "part").distinct()
+    known = parts.mapInPandas(pieces, "id string, word string").join(words, "word").groupBy("id")
+    known = known.agg(F.collect_set("word").alias("words"))
+    counted = parts.join(known, "id").select("id", F.pandas_udf(count, "long")("part", "words").alias("covered"))
+    sums = runs.join(counted, "id").groupBy("key", "start").agg(F.sum(F.col("n") * F.col("covered")).alias("covered"))
+    return sums.groupBy("key").agg(F.collect_list(F.struct("start", "covered")).alias("spans"))
+
+
+def features(raw: bytes, begin: int, end: int, pairs: np.ndarray, in_words: int) -> list[float]:
+    """What the forest sees of a candidate, of which ``in_words`` letters are in words."""
     body = np.frombuffer(raw[begin : min(end, begin + 4096)], np.uint8)
     kind, n = _KIND[body], max(1, len(body))
     counts = np.bincount(body, minlength=256)
@@ -124,8 +207,8 @@ def features(raw: bytes, begin: int, end: int, language: Language) -> list[float
         *(np.bincount(kind, minlength=5)[:4] / n),
         float((kind[1:] != kind[:-1]).sum()) / n,
         float(-(share * np.log2(share)).sum()),
-        float(language.pairs[body[:-1], body[1:]].mean()) if n > 1 else 0.0,
-        language.coverage(text),
+        float(pairs[body[:-1], body[1:]].mean()) if n > 1 else 0.0,
+        in_words / n,
         float(b"/" in token or b"." in token or b"/" in body.tobytes()),
         float(len(re.findall(r"[-_]", text))) / n,
         float(bool(re.fullmatch(r"[0-9a-fA-F]+", text))),
@@ -185,12 +268,12 @@ def labelled_findings(texts: list[str], seed: int = 5) -> list[tuple[str, int, i
 @dataclass(frozen=True)
 class Scanner:
     forest: Forest
-    language: Language
+    pairs: np.ndarray
 
-    def scan(self, c: Chunk) -> dict[int, list[tuple[int, int, str, float]]]:
-        """Per text the spans (bytes) of candidates that the forest confirms."""
+    def scan(self, c: Chunk, known: list[dict[int, int]]) -> dict[int, list[tuple[int, int, str, float]]]:
+        """Per text the spans (bytes) of candidates that the forest confirms; ``known``: letters in words, by place."""
         spans = list(_candidates(c))
-        rows = [features(c.texts[t], b, e, self.language) for t, b, e, _ in spans]
+        rows = [features(c.texts[t], b, e, self.pairs, known[c.first + t].get(b, 0)) for t, b, e, _ in spans]
         scores = self.forest.predict(np.array(rows)) if rows else []
         found: dict[int, list] = {}
         for (t, b, e, kind), score in zip(spans, scores, strict=True):
@@ -200,14 +283,20 @@ class Scanner:
         return found
 
 
-def train(texts: list[str], findings: list[tuple[str, int, int, int]] | None = None) -> Scanner | None:
-    """A scanner from sample texts of the corpus and labelled findings."""
+def train(found: DataFrame, texts: list[str], findings: list[tuple[str, int, int, int]] | None = None) -> Scanner | None:
+    """A scanner from the statistics of all documents and labelled findings, made of sample texts if not given."""
     if not texts:
         return None
-    language = learn_language(texts)
+    pairs = transitions(found)
     findings = labelled_findings(texts) if findings is None else findings
-    x = np.array([features(t.encode(), b, e, language) for t, b, e, _ in findings])
-    return Scanner(grow(x, np.array([f[3] for f in findings])), language)
+    parts = [_parts(t.encode(), b, e) for t, b, e, _ in findings]
+    pieces = pd.DataFrame({"word": sorted({w for ps in parts for p in ps for w in _pieces(p)})}, dtype=object)
+    # Bounded by the sample.
+    asked = F.broadcast(found.sparkSession.createDataFrame(pieces, "word string"))
+    words = {r["word"] for r in found.join(asked, "word", "left_semi").select("word").distinct().collect()}
+    rows = zip(findings, parts, strict=True)
+    x = np.array([features(t.encode(), b, e, pairs, sum(covered(p, words) for p in ps)) for (t, b, e, _), ps in rows])
+    return Scanner(grow(x, np.array([f[3] for f in findings])), pairs)
 
 
 def sample(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> list[str]:
@@ -216,19 +305,28 @@ def sample(docs: DataFrame, text: str = "text", bound: int = SAMPLE) -> list[str
     return sorted(r["text"] for r in deal(rows, "label", "text", bound)[0].collect())
 
 
-def _on_texts(scanner: Scanner | None, texts: list) -> Iterator[tuple[int, bytes, list]]:
+def _on_texts(scanner: Scanner | None, texts: list, starts: list, in_words: list) -> Iterator[tuple[int, bytes, list]]:
     if scanner is not None:
+        known = [{} if s is None else dict(zip(s, w, strict=True)) for s, w in zip(starts, in_words, strict=True)]
         for c in chunks(texts):
-            for t, spans in scanner.scan(c).items():
+            for t, spans in scanner.scan(c, known).items():
                 yield c.first + t, c.texts[t], spans
 
 
-def finder(scanner: Scanner | None) -> Callable[[Column], Column]:
+def with_coverage(docs: DataFrame, found: DataFrame, text: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` and what is known of their candidates; the columns that a scan takes."""
+    key, spans = fresh_name(docs, "_text_key"), fresh_name(docs, "_spans")
+    known = coverage(found).select(F.col("key").alias(key), F.col("spans").alias(spans))
+    rows = docs.withColumn(key, _key(F.col(f"`{text}`"))).join(known, key, "left")
+    return rows, [F.col(f"`{text}`"), F.col(f"{spans}.start"), F.col(f"{spans}.covered")]
+
+
+def finder(scanner: Scanner | None) -> Callable[..., Column]:
     """A function of the text: its secrets, positions in characters; null if there are none."""
 
-    def find(texts: pd.Series) -> pd.Series:
+    def find(texts: pd.Series, starts: pd.Series, in_words: pd.Series) -> pd.Series:
         results: list = [None] * len(texts)
-        for i, raw, spans in _on_texts(scanner, texts.tolist()):
+        for i, raw, spans in _on_texts(scanner, texts.tolist(), starts.tolist(), in_words.tolist()):
             results[i] = [
                 {
                     "start": len(raw[:b].decode("utf-8", "replace")),
@@ -243,12 +341,12 @@ def finder(scanner: Scanner | None) -> Callable[[Column], Column]:
     return per_text(find, FOUND)
 
 
-def redactor(scanner: Scanner | None) -> Callable[[Column], Column]:
+def redactor(scanner: Scanner | None) -> Callable[..., Column]:
     """A function of the text: the text with a mark in the place of every secret."""
 
-    def redact(texts: pd.Series) -> pd.Series:
+    def redact(texts: pd.Series, starts: pd.Series, in_words: pd.Series) -> pd.Series:
         results = texts.tolist()
-        for i, raw, spans in _on_texts(scanner, results[:]):
+        for i, raw, spans in _on_texts(scanner, results[:], starts.tolist(), in_words.tolist()):
             for b, e, _, _ in reversed(spans):
                 raw = raw[:b] + MARK + raw[e:]
             results[i] = raw.decode("utf-8", "replace")
@@ -260,8 +358,11 @@ def redactor(scanner: Scanner | None) -> Callable[[Column], Column]:
 def findings(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per secret: id, start and length in characters, kind and score."""
     small_batches(docs.sparkSession)
-    scanner = train(sample(docs, text))
-    marked = docs.select(id_column, finder(scanner)(F.col(f"`{text}`")).alias("_found"))
+    known = statistics(docs, text)
+    scanner = train(known, sample(docs, text))
+    # Texts without candidates have no findings and are not shuffled.
+    marked, scanned = with_coverage(docs.where(F.col(f"`{text}`").rlike(_MAYBE)), known, text)
+    marked = marked.select(id_column, finder(scanner)(*scanned).alias("_found"))
     rows = marked.where(F.col("_found").isNotNull()).select(id_column, F.explode("_found").alias("f"))
     return rows.select(id_column, "f.*")
 
@@ -269,9 +370,11 @@ def findings(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with secrets replaced by a mark, and their number of characters brought up to date."""
     small_batches(docs.sparkSession)
-    scanner = train(sample(docs, text))
+    known = statistics(docs, text)
+    scanner = train(known, sample(docs, text))
     name = fresh_name(docs, "_clean")
-    done = docs.withColumn(name, redactor(scanner)(F.col(f"`{text}`")))
+    rows, scanned = with_coverage(docs, known, text)
+    done = rows.withColumn(name, redactor(scanner)(*scanned))
     columns = {text: F.col(name)}
     if n_chars in docs.columns:
         columns[n_chars] = F.length(name).cast(docs.schema[n_chars].dataType)

@@ -249,6 +249,21 @@ def test_secrets_go_and_the_rest_stays(spark):
     assert all(clean[i]["text"] == t for i, t in enumerate(texts) if i != 3)
 
 
+def test_words_and_transitions_of_all_documents(spark, monkeypatch):
+    """The dictionary has words of texts that are not in the sample, but no words from inside candidates alone."""
+    monkeypatch.setattr(secrets, "HELD", 5)
+    texts = [f"plain{chr(97 + i // 26)}{chr(97 + i % 26)} words" for i in range(600)]
+    texts += ["zwölf bergziege sah wolkenbruch", "see bergziege/wolkenbruch/abcdefgh/2231", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = secrets.statistics(docs)
+    words = {r[0] for r in known.where("word is not null").select("word").distinct().collect()}
+    assert {"bergziege", "wolkenbruch", *(t.split()[0] for t in texts[:600])} <= words and "abcdefgh" not in words
+    found = [[tuple(s) for s in r["spans"]] for r in secrets.coverage(known).collect()]
+    assert found == [[(4, len("bergziegewolkenbruch"))]]
+    pairs = secrets.transitions(known)
+    assert pairs[ord("z"), ord("w")] > pairs[ord("z"), ord("x")]
+
+
 def test_urls(spark):
     given = [
         ("http://a.EXAMPLE.org/es/x?q", "block", "example.org/es/"),
