@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, decontaminate, langid, minhash, mixing, quality, secrets, substrings, suffixes, urls
+from tablewright.llm import chat, decontaminate, langid, lines, minhash, mixing, quality, secrets, substrings, suffixes, urls
 from tablewright.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,29 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold items of the benchmark, with the items and scores."""
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    r"""
+    WITH lines AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i
+      FROM documents
+    ), keyed AS (
+      SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM lines
+    ), common AS (
+      SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last IS NOT NULL AND doc_id <> last) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR doc_id = last), ''))
+             AS kept_sha256
+    FROM keyed LEFT JOIN common ON common.key = keyed.key GROUP BY doc_id
+    """
+)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without lines that three or more documents hold, but for the last of those."""
+    found = lines.without_common_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
