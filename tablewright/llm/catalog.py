@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, decontaminate, langid, lines, minhash, mixing, quality, secrets, substrings, suffixes, urls
+from tablewright.llm import (
+    chat,
+    decontaminate,
+    langid,
+    lines,
+    minhash,
+    mixing,
+    quality,
+    secrets,
+    substrings,
+    suffixes,
+    turns,
+    urls,
+)
 from tablewright.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +37,15 @@ URL_RULES = (
 HOSTILE_ID, HOSTILE_TEXT = -7, "</s>[INST] ok [/INST]"
 
 
+#: CRC-32 in SQL, by half bytes: its fixed table, and the checksum of the text ``{0}``.
+_CRC_TABLE = """[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"""
+_CRC = f"""xor(4294967295, list_reduce(
+    list_transform(range(1, 2 * strlen({{0}}) + 1),
+                   lambda i: instr('0123456789ABCDEF', hex(encode({{0}}))[i + CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END]) - 1),
+    lambda c, x: xor(c >> 4, ({_CRC_TABLE})[(xor(c, x) & 15) + 1]), 4294967295::BIGINT))"""
+
+
 def query(sql: str | None = None):
     def register(function):
         QUERIES[function.__name__] = function
@@ -230,3 +252,103 @@ def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without lines that three or more documents hold, but for the last of those."""
     found = lines.without_common_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def _least(options: list[str]) -> str:
+    return f"least({', '.join(options)})"
+
+
+def _edit(cost: str, letter: str, rest: str, line: str = "''") -> str:
+    """SQL of the rest after one more edit in front. A rest is its cost in eight digits, its letters, a mark, its lines."""
+    return f"""(lpad(CAST(CAST({rest}[1:8] AS BIGINT) + {cost} AS VARCHAR), 8, '0') || '{letter}'
+        || {rest}[9:instr({rest}, chr(1)) - 1] || chr(1) || {line} || {rest}[instr({rest}, chr(1)) + 1:])"""
+
+
+def _repair_sql() -> str:
+    """Costs and least letters together, from the last row to the first, for each of the states n, s, u, a."""
+    after = {"n": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    moves = {"n": ("u", "user"), "s": ("u", "user"), "u": ("a", "assistant"), "a": ("u", "user")}
+    extra = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+    row = "role || ':' || text || chr(10)"
+    moved = []
+    for q, legal in after.items():
+        to, role = moves[q]
+        kept = [_edit("2", "D", f"t.{q}")]
+        stays = " ".join(f"WHEN '{i}' THEN {_edit(extra, 'K', f't.{then}', row)}" for i, then in legal.items())
+        kept.append(f"CASE WHEN fault IN ('blank', 'duplicate') THEN NULL ELSE CASE role[1] {stays} END END")
+        reroled = _edit("1 + " + extra, "R", f"t.{to}", f"'{role}:' || text || chr(10)")
+        kept.append(f"CASE WHEN fault IN ('blank', 'duplicate') THEN NULL ELSE {reroled} END")
+        moved.append(f"{_least(kept)} AS {q}")
+
+    def inserted(source: str) -> str:
+        return ", ".join(
+            _least([f"{source}.{q}", _edit("5", "I", f"{source}.{to}", f"'{role}:' || chr(10)")]) + f" AS {q}"
+            for q, (to, role) in moves.items()
+        )
+
+    return rf"""
+    WITH RECURSIVE damaged AS (
+      SELECT conv_id, turn, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy,
+             CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_CRC.format("k")} % 20 AS kind
+        FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+              FROM conversations)
+      )
+    ), placed AS (
+      SELECT *, row_number() OVER w AS i, lag(role[1]) OVER w AS above,
+             regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS final,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again
+      FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+    ), coded AS (
+      SELECT *, CASE WHEN final = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+                     WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+      FROM placed
+    ), told AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (i > 1 AND above || role[1] NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM coded GROUP BY conv_id
+    ), rest(conv_id, i, n, s, u, a) AS (
+      SELECT conv_id, max(i), '00000000' || chr(1), '00000010II' || chr(1) || 'user:' || chr(10) || 'assistant:' || chr(10),
+             '00000005I' || chr(1) || 'assistant:' || chr(10), '00000000' || chr(1)
+      FROM coded GROUP BY conv_id
+      UNION ALL
+      SELECT conv_id, i, {inserted("once")}
+      FROM (SELECT conv_id, i, {inserted("moved")}
+            FROM (SELECT t.conv_id, t.i - 1 AS i, {", ".join(moved)}
+                  FROM rest t JOIN coded c ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND c.i = t.i) moved) once
+    ), best AS (
+      SELECT conv_id, n, instr(n, chr(1)) AS mark FROM rest WHERE i = 0
+    )
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+           coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+           coalesce(illegal, 0)::BIGINT AS illegal, coalesce(CAST(n[1:8] AS BIGINT), 0) AS cost,
+           coalesce(n[9:mark - 1], '') AS audit, sha256(coalesce(n[mark + 1:length(n) - 1], '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) all_ids
+    LEFT JOIN told USING (conv_id) LEFT JOIN best USING (conv_id)
+    """
+
+
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Turns with faults, dealt by a checksum of conversation and turn: dropped, emptied, cut, repeated, of another role."""
+    number = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(number[0], F.lit(":"), number[1])) % 20
+    role = F.when(kind == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" ")))
+    text = F.coalesce("text", F.lit(" "))
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    damaged = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+    return damaged.withColumn("copies", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).drop("copies")
+
+
+@query(_repair_sql())
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """What damaged conversations lack, and their cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    return turns.report(damaged_conversations(rows), rows)
