@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from tablewright.llm import (
     mixing,
     quality,
     secrets,
+    spelling,
     substrings,
     suffixes,
     turns,
@@ -228,6 +230,64 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def slips(doc_id: str) -> Callable[[str], str]:
+    """Every word of a document, or, where 199 divides a checksum of both, the word less one letter."""
+    start = zlib.crc32(f"{doc_id}:".encode())
+
+    def slip(word: str) -> str:
+        h = zlib.crc32(word.encode(), start)
+        if h % 199:
+            return word
+        at = h % len(word)
+        return word[:at] + word[at + 1 :]
+
+    return slip
+
+
+@query(
+    rf"""
+    WITH RECURSIVE runs AS (
+      SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+      FROM documents
+    ), hashed AS (
+      SELECT run, n, {_CRC.format("k")} AS h
+      FROM (SELECT id || ':' || run AS k, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY id, run)
+    ), words AS (
+      SELECT word, sum(n)::BIGINT AS n
+      FROM (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                        ELSE run END AS word, n FROM hashed)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+    ), gaps AS (
+      SELECT word, n, left(word, k) || '?' || substr(word, k + 2) AS pattern,
+             left(word, k) || substr(word, k + 2) AS less
+      FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)
+    ), near AS (
+      SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.pattern = b.pattern AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.less = b.word
+      UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.less = b.word
+    ), firsts AS (
+      SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS best, max(n) AS best_n
+      FROM near GROUP BY word
+    ), forms AS (
+      SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form,
+             CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+      FROM words LEFT JOIN firsts USING (word)
+    ), chain AS (
+      SELECT word, word AS root FROM words
+      UNION ALL SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NOT NULL
+    )
+    SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain ON chain.word = f.word
+    JOIN forms AS ends ON ends.word = chain.root AND ends.form IS NULL
+    """
+)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents, some of them damaged, with their likely forms."""
+    words = spelling.count_words(table(spark, folder, "documents"), edit=slips)
+    return spelling.variants(words)
+
+
 @query(
     r"""
     WITH lines AS (
