@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.catalog.base import FIRST_LOAD, RUN_TS, query
+from tablewright.catalog.base import AS_OF, FIRST_LOAD, RUN_TS, query
 from tablewright.catalog.mapped import CONFIG_LOAD
 from tablewright.catalog.tables import (
     LAST_ORDER,
@@ -27,8 +27,8 @@ from tablewright.plans.loads import mapped_rows
 from tablewright.plans.mapping import Delta, Field, Mapping, OrderKey
 from tablewright.plans.tasks import run_build
 from tablewright.session import fresh_path, stage
+from tablewright.sinks import keyed
 from tablewright.sinks import tables as sink
-from tablewright.sinks import versions
 from tablewright.sources.landing import read_csv, read_json, read_landing, route, stamp_lineage
 from tablewright.sources.schema import schema_from_definition, table_definition, target_schema
 from tablewright.sources.sql import register_sources, run_sql
@@ -253,7 +253,7 @@ def write_append(spark, customer):
     sink.create_target(spark, path, customer.schema)
     for _ in range(2):
         sink.write(customer, path, "WRITE_APPEND")
-    return spark.read.parquet(path)
+    return sink.read(spark, path)
 
 
 @query(
@@ -266,7 +266,7 @@ def write_truncate(spark, customer):
     for _ in range(2):
         sink.write(customer.select("c_custkey", "c_name", "c_nationkey"), path, "WRITE_APPEND")
     sink.write(customer.withColumn("c_nationkey", F.col("c_nationkey").cast("long")), path, "WRITETRUNCATE")
-    return spark.read.parquet(path)
+    return sink.read(spark, path)
 
 
 @query(
@@ -277,18 +277,18 @@ def stage_transient(spark, lineitem):
     """A transient table replaces schema and rows of the one before, from which it is built."""
     path = fresh_path(spark, "transient")
     sink.write(lineitem, path, "WRITETRANSIENT")
-    flags = spark.read.parquet(path).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    flags = sink.read(spark, path).groupBy("l_returnflag").agg(F.count("*").alias("n"))
     sink.write(flags, path, "WRITETRANSIENT")
-    return spark.read.parquet(path)
+    return sink.read(spark, path)
 
 
 @query("orders", oracle="SELECT count(*) AS n_before, CAST(0 AS BIGINT) AS n_after FROM orders")
 def write_delete(spark, orders):
     path = fresh_path(spark, "delete")
     sink.write(orders, path)
-    before = row_count(stage(spark.read.parquet(path)))
+    before = row_count(stage(sink.read(spark, path)))
     sink.truncate(spark, path)
-    after = row_count(spark.read.schema(orders.schema).parquet(path))
+    after = row_count(sink.read(spark, path))
     return before.select(F.col("n_rows").alias("n_before"), after.scalar().alias("n_after"))
 
 
@@ -296,10 +296,10 @@ def write_delete(spark, orders):
 def write_upsert(spark, orders):
     """The upsert into a table on disk, of which only touched buckets are rewritten."""
     target = last_order_target(orders)
-    root = fresh_path(spark, "upsert")
-    versions.publish(target, root, ["customer_id"], buckets=8)
-    versions.publish_upsert(root, last_order_stage(orders), ["customer_id"], RUN_TS, target.schema)
-    return versions.read_table(spark, root)
+    path = fresh_path(spark, "upsert")
+    keyed.publish(target, path, ["customer_id"])
+    keyed.publish_upsert(path, last_order_stage(orders), ["customer_id"], RUN_TS, target.schema)
+    return keyed.read_table(spark, path)
 
 
 PART_TARGET = Mapping(
@@ -340,7 +340,7 @@ def target_schema_load(spark, part):
     sink.create_target(spark, path, schema)
     rows = with_audit(mapped_rows(PART_TARGET, {"part": part}), FIRST_LOAD, created=True)
     sink.write(rows, path, "WRITEAPPEND")
-    filled = spark.read.parquet(path).agg(*[F.count(c).alias(c) for c in schema.names])
+    filled = sink.read(spark, path).agg(*[F.count(c).alias(c) for c in schema.names])
     columns = [
         F.struct(*[F.lit(d[k]).alias(k) for k in ("name", "type", "mode")], F.col(d["name"]).alias("n_filled"))
         for d in table_definition(schema)
@@ -401,23 +401,23 @@ def _event_archive(events: DataFrame) -> DataFrame:
 )
 def stream_current_view(spark, events):
     """The newest files land first: what arrives late and is older does not win."""
-    folder, root, checkpoint = (fresh_path(spark, n) for n in ("landing", "current", "checkpoint"))
+    folder, path, checkpoint = (fresh_path(spark, n) for n in ("landing", "current", "checkpoint"))
     archive = _event_archive(events)
     late = F.col("file_dt") < F.lit("2024-01-15").cast("timestamp_ntz")
     order = [OrderKey("file_dt", True), OrderKey("load_dt", True), OrderKey("event_id", True)]
     for rows in (archive.where(~late), archive.where(late)):
         write_json(rows, "landing", "append", folder)
         stream = landing_stream(spark, folder, archive.schema)
-        _finish(follow_current(stream, root, ["user_id"], checkpoint, order, buckets=8))
-    return versions.read_table(spark, root).select("user_id", "event_id", "event_type")
+        _finish(follow_current(stream, path, ["user_id"], checkpoint, order))
+    return keyed.read_table(spark, path).select("user_id", "event_id", "event_type")
 
 
 @query("orders", oracle=UPSERT_ORACLE)
 def stream_upsert(spark, orders):
     """The arrivals of the upsert in two batches, by year."""
-    folder, root, checkpoint = (fresh_path(spark, n) for n in ("landing", "upsert", "checkpoint"))
+    folder, path, checkpoint = (fresh_path(spark, n) for n in ("landing", "upsert", "checkpoint"))
     target = last_order_target(orders)
-    versions.publish(target, root, ["customer_id"], buckets=8)
+    keyed.publish(target, path, ["customer_id"])
     arrivals = mapped_rows(LAST_ORDERS, {"orders": latest_rows(
         orders.where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")),
         ["o_custkey", "year(o_orderdate)"],
@@ -429,9 +429,9 @@ def stream_upsert(spark, orders):
         write_json(rows, "landing", "append", folder)
         stream = spark.readStream.schema(arrivals.schema).json(folder)
         _finish(
-            follow_upsert(stream, root, ["customer_id"], order, RUN_TS, target.schema, checkpoint)
+            follow_upsert(stream, path, ["customer_id"], order, RUN_TS, target.schema, checkpoint)
         )
-    return versions.read_table(spark, root)
+    return keyed.read_table(spark, path)
 
 
 @query("customer", oracle="SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -478,3 +478,26 @@ def task_build_checked(spark, supplier, nation, region):
     path = fresh_path(spark, "dim_supplier")
     run_build(spark, CONFIG_LOAD, sources, path, RUN_TS)
     return run_build(spark, {**CONFIG_LOAD, "write_disposition": "WRITE_APPEND"}, sources, path, RUN_TS)
+
+
+CONFIG_LAST_ORDERS = {
+    "destination_table": "dim_last_order",
+    "driving_table": "sales.orders",
+    "source_to_target": [
+        {"name": "customer_id", "source_column": "o_custkey", "pk": True},
+        {"name": "order_id", "source_column": "o_orderkey"},
+        {"name": "order_dt", "source_column": "o_orderdate"},
+        {"name": "price", "source_column": "o_totalprice"},
+    ],
+    "delta": {"field": {"source_column": "o_orderdate"}, "lower_bound": "timestamp_ntz'2000-01-01 00:00:00'"},
+}
+
+
+@query("orders", oracle=UPSERT_ORACLE)
+def task_build_delta(spark, orders):
+    """An incremental task on the table of the day before: the buckets of its window are written anew, others stay."""
+    path = fresh_path(spark, "dim_last_order")
+    keyed.publish(last_order_target(orders), path, ["customer_id"])
+    latest = latest_rows(orders, ["o_custkey"], LAST_ORDER)
+    run_build(spark, CONFIG_LAST_ORDERS, {"sales.orders": latest}, path, RUN_TS, AS_OF)
+    return keyed.read_table(spark, path)

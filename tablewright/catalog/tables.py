@@ -19,13 +19,14 @@ from tablewright.operators.upsert import insert_new as inserted
 from tablewright.operators.upsert import union_append as appended
 from tablewright.operators.upsert import update_from as updated
 from tablewright.operators.windows import analytic
-from tablewright.plans.loads import mapped_rows, publish_history, run_load, type1_delta
+from tablewright.plans.loads import mapped_rows, run_load, type1_delta
 from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
 from tablewright.plans.tasks import current_table
 from tablewright.session import fresh_path, stage
-from tablewright.sinks import versions
+from tablewright.plans.tasks import run_build
+from tablewright.sinks import keyed
 from tablewright.sources.sql import run_sql
 
 # --- windows --------------------------------------------------------------------
@@ -496,13 +497,33 @@ def scd2_delta(spark, events):
     return history_delta(EVENT_DELTA, {"events": events}, event_history_target(events), AS_OF, RUN_TS)
 
 
+CONFIG_HISTORY = {
+    "destination_table": "hist_user_event",
+    "target_type": "HISTORY",
+    "driving_table": "web.events",
+    "source_to_target": [
+        {"name": "user_id", "data_type": "INTEGER", "source_column": "user_id", "pk": True, "hk": True},
+        {"name": "effective_from_dt", "data_type": "TIMESTAMP", "source_column": "ts", "pk": True},
+        {"name": "effective_from_dt_csn_seq", "data_type": "INTEGER", "source_column": "event_id", "pk": True},
+        {"name": "effective_from_dt_seq", "data_type": "INTEGER", "transformation": "1", "pk": True},
+        {"name": "event_type", "data_type": "STRING", "source_column": "event_type"},
+    ],
+    "history": {"partition": [{"name": "user_id"}], "driving_column": [{"name": "event_type"}]},
+    "delta": {
+        "field": {"source_column": "ts"},
+        "lower_bound": "timestamp_ntz'2024-01-20 00:00:00'",
+        "upper_bound": 10 * 86400,
+    },
+}
+
+
 @query("events", oracle=_DELTA_ORACLE, open_ended=True)
 def write_history_delta(spark, events):
-    """The same on disk, where only the buckets with a touched key are written anew."""
-    root, keys = fresh_path(spark, "history"), EVENT_DELTA.history_keys
-    versions.publish(event_history_target(events), root, keys, buckets=8, null_keys=True)
-    publish_history(root, EVENT_DELTA, {"events": events}, AS_OF, RUN_TS)
-    return versions.read_table(spark, root)
+    """The same as a whole task on a table on disk, where only the buckets with a touched key are written anew."""
+    path, keys = fresh_path(spark, "history"), EVENT_DELTA.history_keys
+    keyed.publish(event_history_target(events), path, keys, null_keys=True)
+    run_build(spark, CONFIG_HISTORY, {"web.events": events}, path, RUN_TS, AS_OF)
+    return keyed.read_table(spark, path)
 
 
 @query(

@@ -33,7 +33,7 @@ from tablewright.plans.mapping import (
     TargetType,
 )
 from tablewright.session import stage as staged
-from tablewright.sinks.versions import change_buckets
+from tablewright.sinks import keyed, tables
 
 #: Prefix of columns that a history load needs on its way only.
 HIDDEN = "_hidden_"
@@ -195,21 +195,18 @@ def _empty_target(mapping: Mapping, sources: Sources, run_ts: str | datetime) ->
 
 
 def publish_history(
-    root: str,
+    path: str,
     mapping: Mapping,
     sources: Sources,
     as_of: datetime,
     run_ts: str | datetime,
     params: Params | None = None,
-    buckets: int = 16,
-    batch: int | None = None,
+    buckets: int | None = None,
 ) -> bool:
-    """Work the extraction window into the history at ``root``, which lies in buckets by history key.
+    """Work the extraction window into the history at ``path``, which lies in buckets by history key.
 
-    Only the buckets that hold a touched key are read and written; the others
-    keep their files. A table that is not there yet begins empty; with a ``batch``
-    number, a batch that is already in the table is left out. Returns whether
-    there was a change.
+    Only the buckets that hold a touched key are read and written; the others keep their files. A table that is not
+    there yet begins empty. Returns whether there was a change.
     """
     schema = _empty_target(mapping, sources, run_ts).schema
     keys = T.StructType([schema[k] for k in mapping.history_keys])
@@ -218,7 +215,34 @@ def publish_history(
     def renew(state: DataFrame, touched: DataFrame) -> DataFrame:
         return scd2_delta(mapping, sources, state, as_of, run_ts, params, touched=touched)
 
-    return change_buckets(root, touched, mapping.history_keys, renew, schema, buckets, batch, null_keys=True)
+    return keyed.change_buckets(path, touched, mapping.history_keys, renew, schema, buckets, null_keys=True)
+
+
+def publish_delta(
+    path: str,
+    mapping: Mapping,
+    sources: Sources,
+    as_of: datetime,
+    run_ts: str | datetime,
+    params: Params | None = None,
+    buckets: int | None = None,
+) -> bool:
+    """Merge the extraction window into the table at ``path``, touched buckets only; whether there was a change.
+
+    A table without rows is created when there is none and the window is empty.
+    """
+    if mapping.target_type is TargetType.HISTORY:
+        changed = publish_history(path, mapping, sources, as_of, run_ts, params, buckets)
+    elif not mapping.primary_keys:
+        raise ValueError(f"the incremental load of {mapping.target} needs a primary key")
+    else:
+        rows = delta_rows(mapping, sources, as_of, params)
+        schema = _empty_target(mapping, sources, run_ts).schema
+        changed = keyed.publish_upsert(path, rows, mapping.primary_keys, run_ts, schema, buckets)
+    if not changed:
+        empty = _empty_target(mapping, sources, run_ts)
+        tables.create_target(empty.sparkSession, path, empty.schema)
+    return changed
 
 
 def run_load(

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tablewright.operators import checks
 from tablewright.operators.current import current_view, unnest
 from tablewright.plans.config import mapping_from_config
-from tablewright.plans.loads import run_load
+from tablewright.plans.loads import publish_delta, run_load
 from tablewright.plans.mapping import Disposition, OrderKey
 from tablewright.sinks import tables as sink
 from tablewright.sources.landing import read_landing
@@ -120,7 +120,8 @@ def run_build(
 ) -> DataFrame:
     """A table-building task from start to finish: build, write to ``path``, check; returns the verdicts.
 
-    A load with a delta merges into the table at ``path``. A mapping gets the checks that its keys and type ask for, a
+    A load with a delta merges into the table at ``path``, which then lies in buckets by key: only those that the window
+    touches are read and written. A mapping gets the checks that its keys and type ask for, a
     table by SQL the row count. There are no verdicts with ``block_data_check``, and none on a table that was emptied.
     """
     by_sql = bool(parameters.get("sql"))
@@ -130,10 +131,12 @@ def run_build(
         sink.truncate(spark, path)
         return checks.check_suite(sink.read(spark, path), parameters["destination_table"], blocked=True)
     merged = mapping is not None and mapping.delta is not None and disposition is not Disposition.TRANSIENT
-    target = sink.read(spark, path) if merged and sink.exists(spark, path) else None
-    built = build_table(spark, parameters, sources, run_ts, target, as_of, params)
-    # A merge returns the whole new table, whatever the task says of its rows.
-    sink.write(built, path, Disposition.TRUNCATE if merged else disposition)
+    if merged:
+        if as_of is None:
+            raise ValueError("a load with a delta needs an as-of date")
+        publish_delta(path, mapping, sources, as_of, run_ts, params)
+    else:
+        sink.write(build_table(spark, parameters, sources, run_ts), path, disposition)
     written = sink.read(spark, path)
     if mapping is not None:
         return checks.check_mapping(written, mapping)

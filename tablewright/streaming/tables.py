@@ -1,4 +1,8 @@
-"""Tables that follow a stream. The state is the table itself, so no row is too late."""
+"""Tables that follow a stream. The state is the table itself, so no row is too late.
+
+Structured Streaming's checkpoint says which files are still to come; a batch that broke off is run again with
+the same rows. Working a batch into a table twice gives the rows of working it in once, so nothing else is kept of batches.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +15,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tablewright.operators.checks import check_row_count
 from tablewright.operators.current import LATEST, latest_rows
+from tablewright.operators.upsert import any_null
 from tablewright.plans.mapping import OrderKey
 from tablewright.session import filesystem, fresh_path
-from tablewright.sinks.versions import change_buckets, publish_upsert
+from tablewright.sinks.keyed import change_buckets, publish_upsert
 
 
 def _each_batch(
@@ -42,13 +47,13 @@ def _each_batch(
 
 def stream_current_view(
     stream: DataFrame,
-    root: str,
+    path: str,
     key: Sequence[str],
     checkpoint: str,
     order: Sequence[OrderKey] = LATEST,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Keep the current row of every key in a versioned table.
+    """Keep the current row of every key in a table that lies in buckets by key; null is a key, too.
 
     Rows compete by ``order``, not by arrival. The table keeps the lineage
     columns it needs for that.
@@ -60,28 +65,31 @@ def stream_current_view(
         return latest_rows(state.unionByName(latest_rows(new, key, order)), key, order)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        change_buckets(root, batch, key, merge, schema, buckets, batch_id)
+        change_buckets(path, batch, key, merge, schema, buckets, null_keys=True)
 
     return _each_batch(stream, checkpoint, work)
 
 
 def stream_upsert(
     stream: DataFrame,
-    root: str,
+    path: str,
     pk: Sequence[str],
     order: Sequence[OrderKey],
     run_ts: str | datetime,
     schema: T.StructType,
     checkpoint: str,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Type-1 upsert of arrivals into a versioned table.
+    """Type-1 upsert of arrivals into a table that lies in buckets by key.
 
-    Of several rows for one key in a batch the first by ``order`` counts.
+    Of several rows for one key in a batch the first by ``order`` counts. Rows without a full key match nothing: of
+    a batch that is run again they would be there twice, so a stream with such rows fails.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        publish_upsert(root, latest_rows(batch, pk, order), pk, run_ts, schema, buckets, batch_id)
+        if not batch.where(any_null(pk)).isEmpty():
+            raise ValueError(f"batch {batch_id} has rows without a full key ({', '.join(pk)})")
+        publish_upsert(path, latest_rows(batch, pk, order), pk, run_ts, schema, buckets)
 
     return _each_batch(stream, checkpoint, work)
 

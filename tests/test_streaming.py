@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tablewright.operators.current import latest_rows
 from tablewright.plans.mapping import OrderKey
 from tablewright.session import fresh_path
-from tablewright.sinks import versions
+from tablewright.sinks import keyed
 from tablewright.streaming.landing import landing_stream, stream_landing
 from tablewright.streaming.tables import stream_checked, stream_current_view, stream_upsert
 from tests.helpers import rows, same_rows, ts
@@ -76,13 +76,13 @@ def test_current_view_does_not_depend_on_arrival(spark, landing, paths):
         ("team_20240105.json", {"id": 1, "v": "new"}, {"id": 2, "v": "x"}),
         ("team_20240101.json", {"id": 1, "v": "late"}, {"id": 3, "v": "only"}),
         ("team_20240106.json", {"id": 2, "v": "z"}, {"id": 2, "v": "y"}),
-        ("team_latest.json", {"id": 4, "v": "undated"}),
+        ("team_latest.json", {"id": 4, "v": "undated"}, {"v": "no id"}),
     ):
         landing.put(name, *objects)
     stream = landing_stream(spark, str(landing.folder), SCHEMA, files_per_batch=1)
     stream_current_view(stream, root, ["id"], checkpoint, order, buckets=3).awaitTermination()
-    current = versions.read_table(spark, root)
-    assert rows(current, "id", "v") == [(1, "new"), (2, "y"), (3, "only"), (4, "undated")]
+    current = keyed.read_table(spark, root)
+    assert rows(current, "id", "v") == [(1, "new"), (2, "y"), (3, "only"), (4, "undated"), (None, "no id")]
     archive, again = (fresh_path(spark, n) for n in ("archive", "checkpoint"))
     stream_landing(spark, str(landing.folder), SCHEMA, archive, again).awaitTermination()
     same_rows(current, latest_rows(spark.read.parquet(archive), ["id"], order))
@@ -96,7 +96,7 @@ def test_upsert_is_not_repeated_with_the_batch(spark, landing, paths):
     def run(checkpoint, run_ts):
         stream = spark.readStream.schema(SCHEMA).json(str(landing.folder))
         stream_upsert(stream, root, ["id"], order, run_ts, target, checkpoint, buckets=3).awaitTermination()
-        return rows(versions.read_table(spark, root))
+        return rows(keyed.read_table(spark, root))
 
     landing.put("1.json", {"id": 1, "v": "a"}, {"id": 1, "v": "b"}, {"id": 2, "v": "c"})
     first = run(checkpoint, RUN)
@@ -108,8 +108,15 @@ def test_upsert_is_not_repeated_with_the_batch(spark, landing, paths):
         (2, "A", ts("2024-02-01"), ts("2024-02-02")),
         (3, "d", ts("2024-02-02"), ts("2024-02-02")),
     ]
-    # A run without its checkpoint replays batch 0 with all files: it is known.
-    assert run(fresh_path(spark, "checkpoint"), "2024-03-01 00:00:00") == second
+    # A batch that is run again, as after a failure before its commit, changes nothing.
+    last = max((pathlib.Path(checkpoint.removeprefix("file:")) / "commits").glob("[0-9]*"))
+    for file in (last, last.with_name(f".{last.name}.crc")):
+        file.unlink()
+    assert run(checkpoint, "2024-02-02 00:00:00") == second
+    landing.put("3.json", {"v": "no id"})
+    with pytest.raises(Exception, match="without a full key"):
+        run(checkpoint, RUN)
+    assert rows(keyed.read_table(spark, root)) == second
 
 
 def test_batch_that_fails_its_check_is_not_published(spark, landing, paths):
