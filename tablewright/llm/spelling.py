@@ -273,7 +273,7 @@ def variants(words: DataFrame, lead: int = LEAD, shortest: int = MIN_CHARS) -> D
     """``words`` (``word``, ``n``; each once) with ``form``, ``root``, ``n_near`` and ``form_n``."""
     words = stage(words.select("word", "n"), "words")
     met = words.join(near_words(words, shortest), "word", "left")
-    leads = F.col("best_n") >= lead * F.col("n")
+    leads = F.col("best_n") >= F.col("n").cast("decimal(19,0)") * lead  # beyond 64 bits
     met = met.select(
         "word",
         "n",
