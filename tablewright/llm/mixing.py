@@ -15,10 +15,11 @@ That metric bounds the curvature by 1, so the step needs no tuning, and without
 enough. Each iteration is one aggregation of a staged table of lengths and posteriors; a rate is a function of the
 posterior and of the few vectors ``M^-1 (T - t)`` so far, so rates are never stored or sent.
 
-A domain of which little is left cannot fill any target: the distance would be
-least when whatever looks a little like it is raised and the rest given up. So a target ends where the domain's own documents end: at the total when every document has
-rate ``1 + p (MAX_RATE - 1)``. What is cut goes to the other domains, in proportion to their targets, and :func:`shares`
-reports what was asked, what is aimed at and what is reached.
+A domain of which little is left cannot fill any target: the distance would be least when whatever looks a little like
+it is raised and the rest given up; nor can a domain that the classifier hardly sees be emptied, but by giving up all that might belong to it.
+So targets end where a domain's own documents end: between the totals when every document has a rate in proportion to
+``1 - p``, and to ``1 + p (MAX_RATE - 1)``. What that takes or gives is shared by the other domains, in proportion to their targets, and
+:func:`shares` reports what was asked, what is aimed at and what is reached.
 
 Null and empty texts have no words and rate 1 less their posterior's correction, like others. Without labels every
 posterior is uniform. An empty corpus gives no rows. Of several labels of a document the worst counts. Repeated rows are
@@ -174,15 +175,15 @@ def rate_after(p: list[Column], steps: Sequence[np.ndarray]) -> Column:
     return rate
 
 
-def within_reach(target: np.ndarray, reach: np.ndarray) -> np.ndarray:
-    """Targets no higher than ``reach``; what is cut goes to the others in proportion, as long as there are others."""
-    found, cut = target.copy(), np.zeros(len(target), bool)
-    while (over := (found > reach) & ~cut).any():
-        cut |= over
-        found[cut] = reach[cut]
-        rest = target * ~cut
+def within_reach(target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Targets between ``low`` and ``high``; what that takes or gives is shared by the others in proportion."""
+    found, held = target.copy(), np.zeros(len(target), bool)
+    while (out := ((found > high) | (found < low)) & ~held).any():
+        found[out] = np.clip(found, low, high)[out]
+        held |= out
+        rest = target * ~held
         if rest.sum() > 0:
-            found[~cut] = (rest / rest.sum() * (target.sum() - found[cut].sum()))[~cut]
+            found[~held] = (rest / rest.sum() * max(0.0, target.sum() - found[held].sum()))[~held]
     return found
 
 
@@ -204,7 +205,11 @@ def fit(known: DataFrame, targets: Mapping[str, float]) -> Fit:
     weights = np.array([targets.get(d, 0.0) for d in DOMAINS])
     asked = weights / max(weights.sum(), 1e-300) * m.sum()
     # Posteriors add up to 1, so the rows of M add up to the tokens of the domains.
-    aimed = within_reach(asked, m.sum(axis=1) + (MAX_RATE - 1) * np.diag(m))
+    now, own, total = m.sum(axis=1), np.diag(m), max(m.sum(), 1e-300)
+    # All rates are scaled to keep the number of tokens.
+    low = (now - own) / np.maximum(1 - now / total, 1e-9)
+    high = (now + (MAX_RATE - 1) * own) / (1 + (MAX_RATE - 1) * now / total)
+    aimed = within_reach(asked, np.minimum(low, now), high)
     inverse, steps = np.linalg.pinv(m, rcond=1e-9, hermitian=True), []
     for _ in range(ITERATIONS + 1):
         rate = rate_after(p, steps)

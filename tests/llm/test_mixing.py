@@ -62,12 +62,26 @@ def test_an_empty_domain_does_not_cost_the_others(spark, poor):
 
 
 def test_targets_within_reach():
-    within = lambda t, r: mixing.within_reach(np.array(t, float), np.array(r, float)).tolist()
+    def within(t, high, low=(0, 0, 0)):
+        return mixing.within_reach(*[np.array(x, float) for x in (t, low, high)]).tolist()
+
     assert within([90, 5, 5], [400, 400, 400]) == [90, 5, 5]
     assert within([90, 5, 5], [400, 0, 400]) == pytest.approx([100 * 90 / 95, 0, 100 * 5 / 95])
     # What one gives up may be more than another can take.
     assert within([50, 45, 5], [52, 0, 400]) == pytest.approx([52, 0, 48])
     assert within([50, 50, 0], [10, 20, 400]) == [10, 20, 0]
+    assert within([90, 5, 5], [400, 400, 400], [0, 0, 15]) == pytest.approx([85 * 90 / 95, 85 * 5 / 95, 15])
+
+
+def test_a_domain_that_is_hardly_told_apart_is_not_emptied(spark):
+    draw = np.random.RandomState(2)
+    toxic = draw.uniform(0.03, 0.05, 2000)
+    p = np.column_stack([1 - toxic - 0.01, np.full(2000, 0.01), toxic])
+    known = posteriors(spark, p, draw.randint(1, 400, 2000))
+    found = mixing.fit(known, {"clean": 0.97, "poor": 0.01, "toxic": 0.02})
+    columns = [F.col(f"p_{d}") for d in mixing.DOMAINS]
+    rates = np.array([r[0] for r in known.select(mixing.rate_after(columns, found.steps)).collect()])
+    assert rates.min() > 0.9 and found.aimed[2] > found.asked[2]
 
 
 def test_shares_are_reported(spark):
