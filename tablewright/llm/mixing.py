@@ -18,7 +18,7 @@ posterior and of the few vectors ``M^-1 (T - t)`` so far, so rates are never sto
 A domain of which little is left cannot fill any target: the distance would be least when whatever looks a little like
 it is raised and the rest given up; nor can a domain that the classifier hardly sees be emptied, but by giving up all that might belong to it.
 So targets end where a domain's own documents end: between the totals when every document has a rate in proportion to
-``1 - p``, and to ``1 + p (MAX_RATE - 1)``. What that takes or gives is shared by the other domains, in proportion to their targets, and
+``1 - p``, and rate ``1 + p (MAX_RATE - 1)``; closer, when posteriors hardly differ (:func:`reach`). What that takes or gives is shared by the other domains, in proportion to their targets, and
 :func:`shares` reports what was asked, what is aimed at and what is reached.
 
 Null and empty texts have no words and rate 1 less their posterior's correction, like others. Without labels every
@@ -54,6 +54,8 @@ TOLERANCE = 1e-4
 #: No document is repeated more often. Published trials find a few passes nearly as good as new text, and little gain
 #: from more than some ten.
 MAX_RATE = 8.0
+#: Share of a posterior's variance from which on a domain counts as told apart; below, its target may move less.
+SURE = 0.1
 #: Decimals of a step: sums in another order, as after a lost executor, give the same rates.
 DIGITS = 9
 
@@ -175,6 +177,16 @@ def rate_after(p: list[Column], steps: Sequence[np.ndarray]) -> Column:
     return rate
 
 
+def reach(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lowest and highest total that each domain's own documents give, from the sums ``M``."""
+    # Posteriors add up to 1, so the rows of M add up to the tokens of the domains.
+    now, own, total = m.sum(axis=1), np.diag(m), max(m.sum(), 1e-300)
+    share, sharpness = now / total, own / np.maximum(now, 1e-300)
+    told_apart = np.clip((sharpness - share) / np.maximum(1 - share, 1e-9) / SURE, 0, 1)
+    low = np.minimum(now, (now - own) / np.maximum(1 - share, 1e-9))  # rates scaled to keep the number of tokens
+    return now - told_apart * (now - low), now + told_apart * (MAX_RATE - 1) * own
+
+
 def within_reach(target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Targets between ``low`` and ``high``; what that takes or gives is shared by the others in proportion."""
     found, held = target.copy(), np.zeros(len(target), bool)
@@ -204,12 +216,7 @@ def fit(known: DataFrame, targets: Mapping[str, float]) -> Fit:
     m = np.array([v or 0.0 for v in known.agg(*pairs).first()]).reshape(len(p), len(p))
     weights = np.array([targets.get(d, 0.0) for d in DOMAINS])
     asked = weights / max(weights.sum(), 1e-300) * m.sum()
-    # Posteriors add up to 1, so the rows of M add up to the tokens of the domains.
-    now, own, total = m.sum(axis=1), np.diag(m), max(m.sum(), 1e-300)
-    # All rates are scaled to keep the number of tokens.
-    low = (now - own) / np.maximum(1 - now / total, 1e-9)
-    high = (now + (MAX_RATE - 1) * own) / (1 + (MAX_RATE - 1) * now / total)
-    aimed = within_reach(asked, np.minimum(low, now), high)
+    aimed = within_reach(asked, *reach(m))
     inverse, steps = np.linalg.pinv(m, rcond=1e-9, hermitian=True), []
     for _ in range(ITERATIONS + 1):
         rate = rate_after(p, steps)
