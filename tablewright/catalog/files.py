@@ -6,6 +6,9 @@ folder of the session, and read back by the operator in question.
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,14 +24,18 @@ from tablewright.catalog.tables import (
 )
 from tablewright.functions.dates import file_date
 from tablewright.operators.checks import check_row_count, row_count
-from tablewright.operators.current import LINEAGE, latest_rows
+from tablewright.operators.current import latest_rows
+from tablewright.operators.joins import tracked_rows
 from tablewright.operators.projection import conform, with_audit
-from tablewright.plans.loads import mapped_rows
+from tablewright.plans.delta import before, day_of, delta_bounds, delta_filter
+from tablewright.plans.loads import mapped_rows, run_load
 from tablewright.plans.mapping import Delta, Field, Mapping, OrderKey
 from tablewright.plans.tasks import run_build
-from tablewright.session import fresh_path, stage
+from tablewright.session import filesystem, fresh_path, stage
 from tablewright.sinks import keyed
 from tablewright.sinks import tables as sink
+from tablewright.sinks.archive import add_to_archive, read_archive, refresh_current
+from tablewright.sinks.lookup import narrowed, write_for_lookup
 from tablewright.sources.landing import read_csv, read_json, read_landing, route, stamp_lineage
 from tablewright.sources.schema import schema_from_definition, table_definition, target_schema
 from tablewright.sources.sql import register_sources, run_sql
@@ -89,26 +96,28 @@ def ingest_csv_skip(spark, customer):
 
 
 NESTED_DEFINITION = [
-    {"name": "results", "type": "INTEGER", "mode": "REQUIRED"},
-    {"name": "ordered", "type": "DATE"},
-    {"name": "open", "type": "BOOLEAN"},
-    {"name": "errors", "type": "STRING", "mode": "REPEATED"},
+    {"name": "order_id", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "placed", "type": "DATE"},
+    {"name": "is_open", "type": "BOOLEAN"},
+    {"name": "states", "type": "STRING", "mode": "REPEATED"},
+    {"name": "total", "type": "FLOAT"},
     {
-        "name": "response",
+        "name": "lines",
         "type": "RECORD",
         "mode": "REPEATED",
         "fields": [
-            {"name": "priority", "type": "STRING"},
+            {"name": "number", "type": "INTEGER"},
             {
-                "name": "coverage",
+                "name": "shipped",
                 "type": "RECORD",
-                "mode": "REPEATED",
                 "fields": [
+                    {"name": "quantity", "type": "FLOAT"},
                     {
-                        "name": "customer",
+                        "name": "parts",
                         "type": "RECORD",
-                        "fields": [{"name": "id", "type": "INTEGER"}],
-                    }
+                        "mode": "REPEATED",
+                        "fields": [{"name": "part_id", "type": "INTEGER"}],
+                    },
                 ],
             },
         ],
@@ -118,61 +127,94 @@ NESTED_DEFINITION = [
 
 @query(
     "orders",
+    "lineitem",
     oracle="""
-    SELECT o_orderkey AS results, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS ordered, o_orderstatus = 'O' AS open,
-           1 AS n_errors, o_orderpriority AS priority, o_custkey AS customer_id
-    FROM orders
+    SELECT o_orderkey AS order_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS placed, o_orderstatus = 'O' AS is_open,
+           o_orderstatus AS state, o_totalprice AS total, l_linenumber AS line, l_quantity AS quantity,
+           l_partkey AS part_id
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
     """,
 )
-def ingest_nested(spark, orders):
-    """Documents with records four levels deep, under a schema from a definition."""
-    customer = F.struct(F.struct(F.col("o_custkey").alias("id")).alias("customer"))
+def ingest_nested(spark, orders, lineitem):
+    """Orders as documents with their lines in records four levels deep, under a schema from a definition."""
+    parts = F.array(F.struct(F.col("l_partkey").alias("part_id")))
+    shipped = F.struct(F.col("l_quantity").alias("quantity"), parts.alias("parts"))
+    line = F.struct(F.col("l_linenumber").alias("number"), shipped.alias("shipped"))
+    lines = lineitem.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.collect_list(line).alias("lines"))
     documents = orders.select(
-        F.col("o_orderkey").alias("results"),
-        F.to_date("o_orderdate").alias("ordered"),
-        (F.col("o_orderstatus") == "O").alias("open"),
-        F.array("o_orderstatus").alias("errors"),
-        F.array(F.struct(F.col("o_orderpriority").alias("priority"), F.array(customer).alias("coverage"))).alias(
-            "response"
-        ),
-    )
+        F.col("o_orderkey").alias("order_id"),
+        F.to_date("o_orderdate").alias("placed"),
+        (F.col("o_orderstatus") == "O").alias("is_open"),
+        F.array("o_orderstatus").alias("states"),
+        F.col("o_totalprice").alias("total"),
+    ).join(lines, "order_id")
     schema = schema_from_definition(NESTED_DEFINITION)
     found = read_json(spark, f"{write_json(documents, 'nested')}/*.json", schema)
-    return found.select(
-        "results",
-        F.col("ordered").cast("string").alias("ordered"),
-        "open",
-        F.size("errors").alias("n_errors"),
-        F.col("response")[0]["priority"].alias("priority"),
-        F.col("response")[0]["coverage"][0]["customer"]["id"].alias("customer_id"),
+    return found.select("*", F.explode("lines").alias("l")).select(
+        "order_id",
+        F.col("placed").cast("string").alias("placed"),
+        "is_open",
+        F.col("states")[0].alias("state"),
+        "total",
+        F.col("l.number").alias("line"),
+        F.col("l.shipped.quantity").alias("quantity"),
+        F.col("l.shipped.parts")[0]["part_id"].alias("part_id"),
     )
 
 
+def put_files(df: DataFrame, folder: str) -> None:
+    """One file per value of ``object``, under that name, last changed at six on the day after the name's, or in March."""
+    spark, written = df.sparkSession, fresh_path(df.sparkSession, "put")
+    rows = df.repartition("object").write.option("timestampNTZFormat", _MICROS)
+    rows.partitionBy("object").json(written)
+    at, system = filesystem(spark, written)
+    system.mkdirs(filesystem(spark, folder)[0])
+    for status in system.listStatus(at):
+        if not status.isDirectory():
+            continue
+        name = status.getPath().getName().partition("=")[2]
+        day = re.search(r"\d{8}", name)
+        changed = datetime.strptime(day[0], "%Y%m%d") + timedelta(days=1) if day else datetime(2024, 3, 1)
+        changed = changed.replace(hour=6, tzinfo=timezone.utc)
+        for part in system.listStatus(status.getPath()):
+            target = filesystem(spark, f"{folder}/{name}")[0]
+            system.rename(part.getPath(), target)
+            system.setTimes(target, int(changed.timestamp() * 1000), -1)
+
+
+#: Names and times of the files that :func:`put_files` makes of events, and the lineage that follows from them.
+_OBJECT = """CASE WHEN user_id % 3 = 2 THEN 'team_latest_' || user_id % 2 || '.json'
+                  ELSE 'team_' || strftime(ts, '%Y%m%d') || '_' || user_id % 3 || '.json' END"""
+_LOADED = """CASE WHEN user_id % 3 = 2 THEN TIMESTAMP '2024-03-01 06:00:00'
+                  ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 30 HOUR END"""
+_DATED = f"CASE WHEN user_id % 3 = 2 THEN {_LOADED} ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END"
+
+
+def event_files(events: DataFrame) -> DataFrame:
+    dated = F.concat(F.lit("team_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), F.col("user_id") % 3, F.lit(".json"))
+    undated = F.concat(F.lit("team_latest_"), F.col("user_id") % 2, F.lit(".json"))
+    return events.withColumn("object", F.when(F.col("user_id") % 3 == 2, undated).otherwise(dated))
+
+
+def _plain_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("file_dt", "load_dt")})
+
+
 @query(
     "events",
-    oracle="""
-    SELECT event_id,
-           CASE WHEN event_type = 'error' THEN 'resent.json'
-                ELSE 'team_' || strftime(ts, '%Y%m%d') || '_' || user_id % 3 || '.json' END AS file_name,
-           CAST(CAST(ts AS DATE) AS TIMESTAMP) AS file_dt
+    oracle=f"""
+    SELECT event_id, CASE WHEN event_type = 'error' THEN 'resent.json' ELSE {_OBJECT} END AS file_name,
+           {_DATED} AS file_dt, {_LOADED} AS load_dt
     FROM events
     """,
 )
 def landing_lineage(spark, events):
-    """Lineage from the folder that stands for the object; rows that have a name keep it."""
-    day = F.date_format("ts", "yyyyMMdd")
-    landed = events.select(
-        "event_id",
-        F.concat(F.lit("team_"), day, F.lit("_"), F.col("user_id") % 3, F.lit(".json")).alias("object"),
-        F.when(F.col("event_type") == "error", F.lit("resent.json")).alias("file_name"),
-    )
-    path = fresh_path(spark, "landing")
-    landed.hint("rebalance", "object").write.partitionBy("object").json(path)
-    schema = "event_id bigint, file_name string"
-    found = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
-    name = F.regexp_extract("_metadata.file_path", "object=([^/]+)", 1)
-    stamped = stamp_lineage(found, file_name=name)
-    return stamped.select("event_id", "file_name", F.col("file_dt").cast("timestamp_ntz").alias("file_dt"))
+    """Name, date and load time of the files that rows come from; rows that have a name keep it."""
+    folder = fresh_path(spark, "landing")
+    given = F.when(F.col("event_type") == "error", F.lit("resent.json")).alias("file_name")
+    put_files(event_files(events).select("event_id", "object", given), folder)
+    found = spark.read.schema("event_id bigint, file_name string").json(f"{folder}/*.json")
+    return _plain_times(stamp_lineage(found))
 
 
 @query(
@@ -368,15 +410,23 @@ def _finish(stream) -> None:
     stream.awaitTermination()
 
 
-@query("events", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@query(
+    "events",
+    oracle=f"""
+    SELECT event_id, ts, user_id, event_type, value, props, {_OBJECT} AS file_name, {_DATED} AS file_dt,
+           {_LOADED} AS load_dt
+    FROM events
+    """,
+)
 def stream_landing(spark, events):
-    """Files that land in two rounds, appended to the archive by two runs of the stream."""
+    """Files that land in two rounds, appended with their lineage by two runs to an archive in days, and read from there."""
     folder, archive, checkpoint = (fresh_path(spark, n) for n in ("landing", "archive", "checkpoint"))
-    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    # Files without a date in their name hold days of both rounds, and land last.
+    early = (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("user_id") % 3 != 2)
     for rows in (events.where(early), events.where(~early)):
-        write_json(rows, "landing", "append", folder)
+        put_files(event_files(rows), folder)
         _finish(land(spark, folder, events.schema, archive, checkpoint))
-    return spark.read.parquet(archive).drop(*LINEAGE)
+    return _plain_times(read_archive(spark, archive).drop(day_of("file_dt")))
 
 
 def _event_archive(events: DataFrame) -> DataFrame:
@@ -452,6 +502,66 @@ def stream_checked(spark, customer):
     return spark.read.parquet(out).drop("batch")
 
 
+# --- archives in days, tables for lookups ---------------------------------------------
+
+
+@query(
+    "events",
+    oracle=f"""
+    SELECT event_id, user_id, event_type, CAST(ts AS DATE)::TIMESTAMP AS file_dt, TIMESTAMP '{RUN_TS}' AS dw_created_dt,
+           TIMESTAMP '{RUN_TS}' AS dw_last_modified_dt
+    FROM events WHERE ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-31'
+    """,
+)
+def delta_pruned(spark, events):
+    """A load of three days from an archive in days: the scan lists no others."""
+    path = fresh_path(spark, "archive")
+    add_to_archive(_event_archive(events), path)
+    fields = (Field("event_id", pk=True), Field("user_id"), Field("event_type"), Field("file_dt"))
+    mapping = Mapping("ld_event", "arc_event", fields, delta=Delta("src.file_dt", "timestamp_ntz'2024-01-28'", 3 * 86400))
+    return run_load(mapping, {"arc_event": read_archive(spark, path)}, RUN_TS, as_of=AS_OF)
+
+
+@query(
+    "events",
+    oracle="""
+    SELECT user_id, event_id, event_type FROM events
+    QUALIFY row_number() OVER (
+      PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC, ts DESC, event_id DESC) = 1
+    """,
+)
+def current_pruned(spark, events):
+    """A current view of the archive's first days, brought up to date from the days that follow."""
+    path, view = fresh_path(spark, "archive"), fresh_path(spark, "current")
+    order = [OrderKey("file_dt", True), OrderKey("load_dt", True), OrderKey("event_id", True)]
+    archive = _event_archive(events)
+    late = F.col("file_dt") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    add_to_archive(archive.where(~late), path)
+    refresh_current(read_archive(spark, path), view, ["user_id"], "2024-01-01 00:00:00", order)
+    add_to_archive(archive.where(late), path)
+    refresh_current(read_archive(spark, path), view, ["user_id"], "2024-01-20 00:00:00", order)
+    return keyed.read_table(spark, view).select("user_id", "event_id", "event_type")
+
+
+@query(
+    "orders",
+    oracle="""
+    SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+    WHERE o_orderdate < TIMESTAMP '2001-07-20'
+      AND o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-20')
+    """,
+)
+def tracked_pruned(spark, orders):
+    """Earlier rows of the keys in a short window, looked up in a table with Bloom filters."""
+    path = fresh_path(spark, "orders")
+    write_for_lookup(orders, path, ["o_custkey"])
+    table = spark.read.parquet(path)
+    lo, hi = delta_bounds("timestamp_ntz'2001-07-20 00:00:00'", None, AS_OF)
+    recent = delta_filter(table, "o_orderdate", lo, hi)
+    earlier = narrowed(before(table, "o_orderdate", lo), recent, ["o_custkey"])
+    return tracked_rows(earlier, recent, ["o_custkey"]).select("o_orderkey", "o_custkey", "o_orderdate")
+
+
 # --- whole tasks ------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from tablewright.operators.current import latest_rows, reshape_records, unnest
 from tablewright.operators.history import cdc_filter as cdc_rows
 from tablewright.operators.history import close_intervals as closed_rows
 from tablewright.operators.history import history_stage, open_rows
-from tablewright.operators.projection import with_audit
+from tablewright.operators.projection import project, with_audit
 from tablewright.operators.upsert import classify
 from tablewright.operators.upsert import insert_new as inserted
 from tablewright.operators.upsert import union_append as appended
@@ -23,9 +23,8 @@ from tablewright.plans.loads import mapped_rows, run_load, type1_delta
 from tablewright.plans.loads import scd2_delta as history_delta
 from tablewright.plans.loads import scd2_full as history_full
 from tablewright.plans.mapping import Delta, Field, History, Mapping, OrderKey, TargetType
-from tablewright.plans.tasks import current_table
+from tablewright.plans.tasks import current_table, run_build
 from tablewright.session import fresh_path, stage
-from tablewright.plans.tasks import run_build
 from tablewright.sinks import keyed
 from tablewright.sources.sql import run_sql
 
@@ -894,21 +893,23 @@ def check_query(spark, orders, lineitem):
     """,
 )
 def scalar_functions(spark, events):
-    """The functions that mapped expressions use."""
-    return events.selectExpr(
-        "event_id",
-        "ifnull(value, 0) AS filled",
-        "if(value > 50, 'high', 'low') AS band",
-        "case event_type when 'click' then 1 when 'view' then 2 else 0 end AS code",
-        "cast(user_id as string) AS user_text",
-        "abs(user_id - 75) AS distance",
-        "cast(to_date(ts) as string) AS day",
-        "cast(to_date(ts) as timestamp_ntz) AS midnight",
-        "cast(date_add(to_date(ts), 1) as string) AS next_day",
-        "cast(date_sub(to_date(ts), 1) as string) AS previous_day",
-        "cast(add_months(to_date(ts), -1) as string) AS previous_month",
-        "ts + interval 90 second AS later",
-        "cast(last_day(ts) as string) AS month_end",
-        "dayofweek(ts) AS day_of_week",
-        "to_timestamp_ntz(date_format(ts, 'dd-MMM-yyyy HH:mm:ss'), 'dd-MMM-yyyy HH:mm:ss') AS parsed",
-    )
+    """The functions that mapped expressions use, spelled as in job configurations."""
+    written = "date_format(src.ts, 'dd-MMM-yyyy HH:mm:ss')"
+    expressions = {
+        "filled": "ifnull(src.value, 0)",
+        "band": "if(src.value > 50, 'high', 'low')",
+        "code": "case src.event_type when 'click' then 1 when 'view' then 2 else 0 end",
+        "user_text": "cast(src.user_id as string)",
+        "distance": "abs(src.user_id - 75)",
+        "day": "cast(date(src.ts) as string)",
+        "midnight": "cast(timestamp(date(src.ts)) as timestamp_ntz)",
+        "next_day": "cast(date_add(date(src.ts), interval 1 day) as string)",
+        "previous_day": "cast(date_sub(date(src.ts), interval 1 day) as string)",
+        "previous_month": "cast(date_sub(date(src.ts), interval 1 month) as string)",
+        "later": "date_add(src.ts, interval 90 second)",
+        "month_end": "cast(last_day(date(src.ts), month) as string)",
+        "day_of_week": "extract(dayofweek from src.ts)",
+        "parsed": f"parse_timestamp('%d-%b-%Y %H:%M:%S', {written})",
+    }
+    fields = [Field("event_id"), *[Field(name, transformation=text) for name, text in expressions.items()]]
+    return project(events.alias("src"), fields)

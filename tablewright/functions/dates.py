@@ -18,7 +18,7 @@ _DAY = "([0-3][0-9])"
 _TIME = f"(?:([01][0-9]|2[0-3]){_SEP}([0-5][0-9]))?"
 _YEAR_FIRST = f"(?i){_YEAR}{_SEP}{_MONTH}{_SEP}{_DAY}{_SEP}{_TIME}"
 _DAY_FIRST = f"(?i){_DAY}{_SEP}{_MONTH}{_SEP}{_YEAR}{_SEP}{_TIME}"
-_MONTH_NAMES = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+_MONTH_NAMES = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 
 def ntz(value: str | datetime | Column) -> Column:
@@ -35,7 +35,7 @@ def high_date() -> Column:
 
 
 def _month_number(text: Column) -> Column:
-    by_name = F.floor((F.instr(F.lit(_MONTH_NAMES), F.upper(text)) + 2) / 3)
+    by_name = F.array_position(F.array(*[F.lit(name) for name in _MONTH_NAMES]), F.upper(text))
     return F.when(F.length(text) == 3, by_name).otherwise(text.try_cast("int")).cast("int")
 
 

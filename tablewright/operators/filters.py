@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from tablewright.functions.spelling import expression
 from tablewright.plans.mapping import Condition
 
 _COMPARE = {
@@ -27,15 +27,15 @@ def condition_column(condition: Condition) -> Column:
     left, right = (tuple(condition.fields) + (None,))[:2]
     how = " ".join(condition.operator.lower().split())
     if how == "is null":
-        return F.expr(left).isNull()
+        return expression(left).isNull()
     if how == "is not null":
-        return F.expr(left).isNotNull()
+        return expression(left).isNotNull()
     if how in ("in", "not in"):
         values = right.strip()
         values = values if values.startswith("(") else f"({values})"
-        return F.expr(f"({left}) {how} {values}")
+        return expression(f"({left}) {how} {values}")
     try:
-        return _COMPARE[how](F.expr(left), F.expr(right))
+        return _COMPARE[how](expression(left), expression(right))
     except KeyError:
         raise ValueError(f"unknown comparison {condition.operator!r}") from None
 

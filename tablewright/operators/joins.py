@@ -125,5 +125,8 @@ def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def tracked_rows(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys_of``, each once however often it does."""
+    """Rows of ``df`` whose key occurs in ``keys_of``, each once however often it does.
+
+    To look up few keys in a table written for that, see :func:`tablewright.sinks.lookup.narrowed`.
+    """
     return df.join(keys_of.select(*keys).distinct(), list(keys), "left_semi")

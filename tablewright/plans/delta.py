@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Mapping as Params
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.dates import high_date, ntz
+from tablewright.functions.spelling import expression
 
 # Fixed value: format of the bounds handed to a run.
 _RUN_FORMAT = "%d-%b-%Y %H:%M:%S"
@@ -49,7 +52,7 @@ def lower_bound(text: str, as_of: datetime, params: Params[str, str] | None = No
     token = text.strip().upper()
     if token == LOWER_PARAMETER:
         return ntz(_run_bound(_parameter(params, "lower_date_bound")))
-    return ntz(tokens[token]) if token in tokens else F.expr(text)
+    return ntz(tokens[token]) if token in tokens else expression(text)
 
 
 def _parameter(params: Params[str, str] | None, name: str) -> str:
@@ -83,15 +86,35 @@ def delta_bounds(
     return lo, lo + F.make_dt_interval(secs=F.lit(upper_seconds))
 
 
-def in_window(field: Column, lo: Column, hi: Column | None) -> Column:
+def in_window(field: Column, lo: Column | None, hi: Column | None) -> Column:
+    if lo is None:
+        return field < hi
     return field >= lo if hi is None else (field >= lo) & (field < hi)
 
 
+def day_of(column: str) -> str:
+    """Name of the partition column that holds the days of a time column (see :mod:`tablewright.sinks.archive`)."""
+    return f"{column}_day"
+
+
+def days_of_window(df: DataFrame, field: str, lo: Column | None, hi: Column | None) -> Column | None:
+    """The days of a window, when ``df`` is partitioned by the days of ``field``: Spark lists no others. Else None."""
+    named = re.fullmatch(r"(?:(\w+)\.)?(\w+)", field.strip())
+    if not named or day_of(named[2]) not in df.columns:
+        return None
+    day = F.col(f"{named[1]}.{day_of(named[2])}" if named[1] else day_of(named[2]))
+    bounds = [day >= F.to_date(lo)] if lo is not None else []
+    bounds += [day <= F.to_date(hi)] if hi is not None else []
+    return reduce(operator.and_, bounds)
+
+
 def delta_filter(df: DataFrame, field: str, lo: Column, hi: Column | None) -> DataFrame:
     """Rows with ``lo <= field < hi``; ``field`` is a column or an expression."""
-    return df.where(in_window(F.expr(field), lo, hi))
+    days = days_of_window(df, field, lo, hi)
+    rows = df if days is None else df.where(days)
+    return rows.where(in_window(expression(field), lo, hi))
 
 
 def before(df: DataFrame, field: str, lo: Column) -> DataFrame:
     """The rows an extraction from ``lo`` on leaves out as already loaded."""
-    return df.where(F.expr(field) < lo)
+    return df.where(expression(field) < lo)

@@ -18,10 +18,11 @@ from tablewright.operators.filters import apply_where
 from tablewright.operators.history import build_history
 from tablewright.operators.joins import apply_joins
 from tablewright.functions.dates import ntz
+from tablewright.functions.spelling import expression
 from tablewright.operators.projection import audit_order, conform, project, with_audit
 from tablewright.operators.sizing import broadcast_if_small, null_safe_on
 from tablewright.operators.upsert import require_unique, upsert
-from tablewright.plans.delta import delta_bounds, in_window
+from tablewright.plans.delta import days_of_window, delta_bounds, in_window
 from tablewright.plans.mapping import (
     AUDIT,
     CREATED,
@@ -34,6 +35,7 @@ from tablewright.plans.mapping import (
 )
 from tablewright.session import stage as staged
 from tablewright.sinks import keyed, tables
+from tablewright.sinks.lookup import key_filter
 
 #: Prefix of columns that a history load needs on its way only.
 HIDDEN = "_hidden_"
@@ -72,12 +74,20 @@ def type1_full(
     return _audited(mapped_rows(mapping, sources), mapping, run_ts, created)
 
 
+def _window(mapping: Mapping, sources: Sources, lo: Column | None, hi: Column | None) -> Column:
+    """The extraction window as a filter, and on the days of an archive that lies in days."""
+    field = mapping.delta.field
+    days = days_of_window(sources[mapping.driving_table], field, lo, hi)
+    bounds = in_window(expression(field), lo, hi)
+    return bounds if days is None else bounds & days
+
+
 def delta_rows(
     mapping: Mapping, sources: Sources, as_of: datetime, params: Params | None = None
 ) -> DataFrame:
     """Mapped rows of the extraction window: a delta load before any merge."""
     lo, hi = delta_bounds(mapping.delta.lower_bound, mapping.delta.upper_bound, as_of, params)
-    return mapped_rows(mapping, sources, in_window(F.expr(mapping.delta.field), lo, hi))
+    return mapped_rows(mapping, sources, _window(mapping, sources, lo, hi))
 
 
 def type1_delta(
@@ -110,7 +120,7 @@ def _history_rows(
         if key.expression in names:
             order.append(key)
         else:
-            hidden.append(F.expr(key.expression).alias(f"{HIDDEN}{position}"))
+            hidden.append(expression(key.expression).alias(f"{HIDDEN}{position}"))
             order.append(OrderKey(f"{HIDDEN}{position}", key.desc))
     rows = joined_sources(mapping, sources)
     rows = rows if within is None else rows.where(within)
@@ -139,7 +149,7 @@ def scd2_full(
 def touched_keys(mapping: Mapping, sources: Sources, as_of: datetime, params: Params | None = None) -> DataFrame:
     """The history keys with a row in the extraction window, staged."""
     lo, hi = delta_bounds(mapping.delta.lower_bound, mapping.delta.upper_bound, as_of, params)
-    rows = mapped_rows(mapping, sources, in_window(F.expr(mapping.delta.field), lo, hi))
+    rows = mapped_rows(mapping, sources, _window(mapping, sources, lo, hi))
     return staged(rows.select(*mapping.history_keys).distinct(), "touched")
 
 
@@ -167,11 +177,15 @@ def scd2_delta(
         raise ValueError(f"the incremental load of {mapping.target} needs history and primary keys")
     hi = delta_bounds(delta.lower_bound, delta.upper_bound, as_of, params)[1]
     # Only the window's end bounds what a key is computed from.
-    until_end = None if hi is None else F.expr(delta.field) < hi
+    until_end = None if hi is None else _window(mapping, sources, None, hi)
     # A small list of keys is broadcast, and the source is then not shuffled to find them.
-    touched = broadcast_if_small(touched_keys(mapping, sources, as_of, params) if touched is None else touched)
+    touched = touched_keys(mapping, sources, as_of, params) if touched is None else touched
+    few = key_filter(touched, keys)  # a very small one narrows the scan of the source as well
+    touched = broadcast_if_small(touched)
 
     def of_touched(df: DataFrame, how: str) -> DataFrame:
+        if few is not None and how == "left_semi":
+            df = df.where(few)
         return df.alias("rows").join(touched.alias("touched"), null_safe_on("rows", "touched", keys), how)
 
     rows, history = _history_rows(mapping, sources, until_end)

@@ -10,6 +10,8 @@ from enum import Enum
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablewright.functions.spelling import expression
+
 #: Alias of the driving table of a load.
 DRIVING = "src"
 
@@ -63,10 +65,10 @@ class Field:
     def value(self) -> Column:
         """The mapped expression, without its name."""
         if self.transformation:
-            mapped = F.expr(self.transformation)
+            mapped = expression(self.transformation)
         else:
             mapped = F.col(f"{self.source_table}.{self.source_column or self.name}")
-        return F.coalesce(mapped, F.expr(self.default)) if self.default else mapped
+        return F.coalesce(mapped, expression(self.default)) if self.default else mapped
 
     def column(self) -> Column:
         return self.value().alias(self.target_name)

@@ -26,6 +26,7 @@ from tablewright.operators.projection import audit_order
 _TYPES = {
     "STRING": T.StringType(),
     "INTEGER": T.LongType(),
+    "FLOAT": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tablewright.plans.delta import day_of
+from tablewright.sinks.archive import FILE_DATE, with_day
 from tablewright.sources.landing import route, stamp_lineage
 
 
@@ -46,11 +48,12 @@ def stream_landing(
     checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """Append what has landed since the last run to the archive, and stop.
+    """Append what has landed since the last run to the archive, which lies in days of files, and stop.
 
     The file sink logs every batch, so a batch that is repeated after a failure
     is not appended twice.
     """
-    writer = landing_stream(spark, folder, schema, **options).writeStream
+    rows = with_day(landing_stream(spark, folder, schema, **options))
+    writer = rows.writeStream.partitionBy(day_of(FILE_DATE))
     writer = writer.format("parquet").option("path", archive).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

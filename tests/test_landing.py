@@ -44,32 +44,36 @@ def test_file_dates(spark):
     assert found == {**{n: d and ts(d) for n, d in NAMES.items()}, None: None}
 
 
-TEAM = [
+CUSTOMER = [
     {"name": "file_name", "type": "STRING", "mode": "REQUIRED"},
     {"name": "file_dt", "type": "TIMESTAMP", "mode": "REQUIRED"},
     {"name": "load_dt", "type": "TIMESTAMP", "mode": "REQUIRED"},
-    {"name": "results", "type": "INTEGER"},
-    {"name": "errors", "type": "STRING", "mode": "REPEATED"},
+    {"name": "customer_id", "type": "INTEGER"},
+    {"name": "balance", "type": "FLOAT"},
+    {"name": "segments", "type": "STRING", "mode": "REPEATED"},
     {
-        "name": "parameters",
+        "name": "orders",
         "type": "RECORD",
         "mode": "REPEATED",
-        "fields": [{"name": "season", "type": "INTEGER"}, {"name": "start", "type": "DATE"}],
+        "fields": [
+            {"name": "placed", "type": "DATE"},
+            {"name": "lines", "type": "RECORD", "fields": [{"name": "part_ids", "type": "INTEGER", "mode": "REPEATED"}]},
+        ],
     },
-    {"name": "team", "type": "RECORD", "mode": "NULLABLE", "fields": [{"name": "national", "type": "BOOLEAN"}]},
+    {"name": "is_active", "type": "BOOLEAN", "mode": "NULLABLE"},
 ]
 
 
 def test_schema_of_a_definition(tmp_path):
-    schema = schema_from_definition(TEAM)
+    schema = schema_from_definition(CUSTOMER)
     assert schema.simpleString() == (
-        "struct<file_name:string,file_dt:timestamp,load_dt:timestamp,results:bigint,errors:array<string>,"
-        "parameters:array<struct<season:bigint,start:date>>,team:struct<national:boolean>>"
+        "struct<file_name:string,file_dt:timestamp,load_dt:timestamp,customer_id:bigint,balance:double,"
+        "segments:array<string>,orders:array<struct<placed:date,lines:struct<part_ids:array<bigint>>>>,is_active:boolean>"
     )
-    assert [f.nullable for f in schema.fields] == [False] * 3 + [True] * 4
-    path = tmp_path / "team.json"
-    path.write_text(json.dumps(TEAM))
-    assert read_definition(str(path)) == schema == schema_from_definition(json.dumps(TEAM))
+    assert [f.nullable for f in schema.fields] == [False] * 3 + [True] * 5
+    path = tmp_path / "customer.json"
+    path.write_text(json.dumps(CUSTOMER))
+    assert read_definition(str(path)) == schema == schema_from_definition(json.dumps(CUSTOMER))
     with pytest.raises(FileNotFoundError):
         read_definition(str(tmp_path / "none.json"))
 
@@ -82,10 +86,10 @@ def test_types_by_name():
 @pytest.fixture
 def landed(tmp_path):
     objects = {
-        "team_20220510_1200.json": {"results": 1, "parameters": [{"season": 2022, "start": "2022-05-01"}]},
-        "team_latest.json": {"results": 2, "file_dt": None},
-        "league_10-05-2022.json": {"results": 3},
-        "x_team_2022-05-11.json": {"results": 4, "file_name": "own", "load_dt": "2020-01-01T00:00:00Z"},
+        "team_20220510_1200.json": {"customer_id": 1, "orders": [{"placed": "2022-05-01", "lines": {"part_ids": [7]}}]},
+        "team_latest.json": {"customer_id": 2, "file_dt": None},
+        "league_10-05-2022.json": {"customer_id": 3},
+        "x_team_2022-05-11.json": {"customer_id": 4, "file_name": "own", "load_dt": "2020-01-01T00:00:00Z"},
     }
     for name, content in objects.items():
         (tmp_path / name).write_text(json.dumps(content, indent=2))
@@ -95,9 +99,9 @@ def landed(tmp_path):
 
 def test_lineage_of_documents(spark, landed):
     """Pretty-printed objects, one per file; what a document says itself is kept."""
-    schema = schema_from_definition(TEAM)
+    schema = schema_from_definition(CUSTOMER)
     df = stamp_lineage(read_json(spark, f"{landed}/*.json", schema, multi_line=True))
-    found = {r["results"]: (r["file_name"], r["file_dt"], r["load_dt"]) for r in df.collect()}
+    found = {r["customer_id"]: (r["file_name"], r["file_dt"], r["load_dt"]) for r in df.collect()}
     loaded = ts("2023-11-14 22:13:20")
     assert found == {
         1: ("team_20220510_1200.json", ts("2022-05-10 12:00"), loaded),
@@ -105,12 +109,12 @@ def test_lineage_of_documents(spark, landed):
         3: ("league_10-05-2022.json", ts("2022-05-10"), loaded),
         4: ("own", ts("2022-05-11"), ts("2020-01-01")),
     }
-    assert rows(route(df, "team"), "results") == [(1,), (2,)]
+    assert rows(route(df, "team"), "customer_id") == [(1,), (2,)]
 
 
 def test_lineage_is_added_when_there_is_no_column_for_it(spark, landed):
-    df = stamp_lineage(read_json(spark, landed, T.StructType.fromDDL("results bigint"), multi_line=True))
-    assert df.columns == ["results", "file_name", "file_dt", "load_dt"]
+    df = stamp_lineage(read_json(spark, landed, T.StructType.fromDDL("customer_id bigint"), multi_line=True))
+    assert df.columns == ["customer_id", "file_name", "file_dt", "load_dt"]
     assert df.where("file_name is null or file_dt is null or load_dt is null").count() == 0
 
 
