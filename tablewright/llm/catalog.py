@@ -136,7 +136,77 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), urls.rule_table(spark, URL_RULES))
 
 
-@query()
+def _quality_sql() -> str:
+    """Counts, then per stratum, signal and cutoff the binomial tail at the rate allowed: it is within the corrected error
+    exactly if the upper bound of the rate is within the rate allowed."""
+    signals, n_signals = quality.SIGNALS, len(quality.SIGNALS)
+    grid = ", ".join(f"({i}, {c}::DOUBLE)" for i, c in enumerate(quality.GRID))
+    rates = " UNION ALL ".join(
+        f"SELECT id, '{name}' AS signal, {above} / greatest({below}, 1) AS rate FROM counted"
+        for name, (above, below) in signals.items()
+    )
+    allowed = 0.05 / n_signals
+    return rf"""
+    WITH RECURSIVE docs AS (
+      SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ), windows AS (
+      SELECT id, i, md5(array_to_string(w[i:i + 4], ' ')) AS h
+      FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM docs WHERE len(w) >= 5)
+    ), again AS (
+      SELECT id, unnest(range(i, i + 5)) AS i
+      FROM (SELECT id, i, count(*) OVER (PARTITION BY id, h) AS n FROM windows) WHERE n > 1
+    ), repeated AS (
+      SELECT id, count(DISTINCT i) AS n_repeat_words FROM again GROUP BY id
+    ), lines AS (
+      SELECT id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM (SELECT id, unnest(string_split(text, chr(10))) AS line FROM docs)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY id
+    ), counted AS (
+      SELECT id, doc_id, lang, md5(text) AS digest, len(w)::BIGINT AS n_words,
+             length(array_to_string(w, ''))::BIGINT AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             coalesce(n_lines, 0) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper,
+             len(regexp_extract_all(text, '[A-Za-z]')) AS n_letters, len(regexp_extract_all(text, '!')) AS n_shouts,
+             len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
+      FROM docs LEFT JOIN repeated USING (id) LEFT JOIN lines USING (id)
+    ), rates AS ({rates}
+    ), labelled AS (
+      SELECT min(id) AS id, lang AS stratum, min(quality) > 0 AS good
+      FROM counted JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) known USING (doc_id)
+      WHERE quality IS NOT NULL AND NOT base_failed GROUP BY lang, digest
+    ), strata AS (
+      SELECT stratum, count(*) FILTER (good) AS good_n, count(*) FILTER (NOT good) AS bad_n,
+             0.05 / ((SELECT count(*) FROM (SELECT DISTINCT stratum FROM labelled)) * {n_signals}) AS error
+      FROM labelled GROUP BY stratum
+    ), cells AS (
+      SELECT s.stratum, signal, place, cutoff, good_n, bad_n, error, count(*) FILTER (good AND rate > cutoff) AS wrong,
+             count(*) FILTER (NOT good AND rate > cutoff) AS caught
+      FROM labelled l JOIN strata s ON s.stratum IS NOT DISTINCT FROM l.stratum JOIN rates USING (id),
+           (VALUES {grid}) AS g(place, cutoff)
+      WHERE good_n > 0 AND bad_n > 0 GROUP BY ALL
+    ), tested AS (
+      SELECT *, wrong < good_n AND list_sum(list_transform(range(0, wrong + 1), lambda k: exp(
+                  lgamma(good_n + 1) - lgamma(k + 1) - lgamma(good_n - k + 1)
+                  + k * ln({allowed}) + (good_n - k) * ln(1 - {allowed})))) <= error AS passed
+      FROM cells
+    ), certified AS (
+      SELECT stratum, signal, min(cutoff) AS cutoff
+      FROM (SELECT *, bool_and(passed) OVER (PARTITION BY stratum, signal ORDER BY place) AS so_far FROM tested)
+      WHERE so_far AND caught * good_n > wrong * bad_n GROUP BY stratum, signal
+    ), rejected AS (
+      SELECT DISTINCT id FROM rates JOIN counted USING (id)
+      JOIN certified c ON c.signal = rates.signal AND c.stratum IS NOT DISTINCT FROM lang WHERE rate > c.cutoff
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND id NOT IN (SELECT id FROM rejected) AS kept
+    FROM counted
+    """
+
+
+@query(_quality_sql())
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures of every document, and whether the rules keep it."""
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -217,7 +287,34 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-@query()
+@query(
+    """
+    WITH docs AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+    ), windows AS (
+      SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h
+      FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS i FROM docs WHERE n >= 200)
+    ), again AS (
+      SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+    ), runs AS (
+      SELECT doc_id, min(i) AS b, max(i) + 200 AS e
+      FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+            FROM (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh
+                  FROM again))
+      GROUP BY doc_id, run
+    ), kept AS (
+      SELECT doc_id, b AS upto, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS since FROM runs
+      UNION ALL
+      SELECT doc_id, n, coalesce((SELECT max(e) FROM runs r WHERE r.doc_id = d.doc_id), 0) FROM docs d
+    ), joined AS (
+      SELECT doc_id, string_agg(substr(x, 2 * since + 1, 2 * (upto - since)), '' ORDER BY since) AS left_over
+      FROM kept JOIN docs USING (doc_id) GROUP BY doc_id
+    )
+    SELECT doc_id, n AS n_bytes, n - strlen(left_over) // 2 AS n_removed,
+           (SELECT count(*) FROM runs r WHERE r.doc_id = d.doc_id) AS n_spans, sha256(unhex(left_over)) AS kept_sha256
+    FROM docs d JOIN joined USING (doc_id)
+    """
+)
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without bytes of repeated 200-byte strings."""
     found = suffixes.without_repeated_bytes(table(spark, folder, "documents"))

@@ -16,9 +16,12 @@ a stated confidence:
 A signal is used in a stratum only where it finds a larger share of the bad documents than of
 the good ones. Strata without enough labels get no cutoff, so only the base rules act there.
 
+The bounds take labelled texts as independent trials, so copies count once per stratum, by a digest of the text: a good
+text in 500 copies certifies no more than one.
+
 Null and empty texts have no words and fail the base rules. A null stratum is a stratum. Of several
-labels of a document the lowest counts; null labels are ignored. No labels: no cutoffs.
-Repeated rows are judged alike.
+labels of a document, or of copies of a text, the lowest counts; null labels are ignored. No labels: no cutoffs.
+Repeated rows are judged alike. Columns of ``docs`` other than id, text and stratum are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -172,12 +175,13 @@ def certify(
     error: float = 0.05,
     grid: Sequence[float] = GRID,
 ) -> Rules:
-    """Cutoffs from ``known`` (id, ``stratum``, ``m``: the counts) and ``labels`` (id, quality).
+    """Cutoffs from ``known`` (id, ``stratum``, ``digest`` of the text, ``m``: the counts) and ``labels`` (id, quality).
 
-    All labelled documents are counted, per stratum, in one aggregation; the driver gets a row per stratum.
+    All labelled texts are counted, per stratum, in one aggregation; the driver gets two rows per stratum.
     """
     good = labels.groupBy(id_column).agg(F.min("quality").alias("_good")).where("_good is not null")
     rows = known.where(~base_failed(F.col("m"))).join(good, id_column)
+    rows = rows.groupBy("stratum", "digest").agg(F.min("_good").alias("_good"), F.first("m").alias("m"))
     counts = [F.count("*").alias("n")] + [
         F.sum((signal(F.col("m"), s) > c).cast("long")).alias(f"{s}_{i}")
         for s in SIGNALS
@@ -208,7 +212,10 @@ def known_measures(docs: DataFrame, id_column: str, stratum: str) -> DataFrame:
     name = fresh_name(docs, "_measures")
     return stage(
         measured(docs, name=name).select(
-            id_column, F.col(f"`{stratum}`").cast("string").alias("stratum"), F.col(name).alias("m")
+            id_column,
+            F.col(f"`{stratum}`").cast("string").alias("stratum"),
+            F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("digest"),
+            F.col(name).alias("m"),
         ),
         "quality",
     )

@@ -167,6 +167,20 @@ def test_certified_cutoffs_reject_bad_and_keep_good(spark):
     assert rows(found.groupBy("quality", "kept").count()) == [(0, False, 500), (1, True, 2000)]
 
 
+def test_copies_certify_no_more_than_one_text(spark):
+    """500 copies of one good text and of one bad one are two trials: too few for any cutoff."""
+    text = F.when(F.col("id") < 500, F.lit("plain words " + " ".join(f"w{i}" for i in range(30)))).otherwise(
+        F.lit(" ".join(f"w{i}$$" for i in range(30)))
+    )
+    docs = spark.range(1000).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("x").alias("digest"), F.lit(1).alias("m")
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") < 500).cast("int").alias("quality"))
+    assert quality.judge(docs, labels).where("not kept").count() == 0
+    known = quality.known_measures(docs, "doc_id", "lang")
+    assert quality.certify(known, labels).cutoffs == {"en": {}}
+
+
 def test_languages_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
