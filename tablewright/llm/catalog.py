@@ -291,9 +291,12 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH docs AS (
       SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+    ), pieces AS (
+      SELECT doc_id, p, n, substr(x, 600 * p + 1, 998) AS y
+      FROM (SELECT doc_id, x, n, unnest(range(0, (n - 200) // 300 + 1)) AS p FROM docs WHERE n >= 200)
     ), windows AS (
-      SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h
-      FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS i FROM docs WHERE n >= 200)
+      SELECT doc_id, 300 * p + j AS i, md5(substr(y, 2 * j + 1, 400)) AS h
+      FROM (SELECT *, unnest(range(0, least(300, n - 199 - 300 * p))) AS j FROM pieces)
     ), again AS (
       SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
     ), runs AS (
