@@ -1 +1 @@
-"""Preparation of training corpora: ten operators over documents, pages and conversations."""
+"""Preparation of training corpora: thirteen operators over documents, pages and conversations."""
