@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.dates import ntz
+from tablewright.functions.dates import HIGH_DATE, ntz
 from tablewright.operators.history import open_rows
 from tablewright.plans.mapping import EFFECTIVE_TO, Mapping, TargetType
 from tablewright.session import stage
@@ -136,16 +136,30 @@ def check_query(result: DataFrame, name: str = QUERY) -> DataFrame:
     return per_row.agg(*_verdict(name, F.coalesce(F.sum("n"), F.lit(1))))
 
 
-def _keyed_checks(df: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Row count and duplicates from one aggregation by key."""
-    keyed = df.groupBy(*pk).agg(F.count("*").alias("_times"))
-    totals = keyed.agg(
-        (F.count("*") == 0).cast("long").alias(ROW_COUNT),
-        F.count_if(F.col("_times") > 1).alias(DUPLICATES),
-    )
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("check"), F.col(c).alias("n_failed")) for c in (ROW_COUNT, DUPLICATES)]
-    )
+def _is_open(df: DataFrame) -> Column:
+    return F.col(EFFECTIVE_TO) == F.lit(HIGH_DATE).cast(df.schema[EFFECTIVE_TO].dataType)
+
+
+def _keyed_checks(df: DataFrame, pk: Sequence[str], hk: Sequence[str] = ()) -> DataFrame:
+    """Row count, duplicates and, with a history key that is part of the primary key, open rows.
+
+    The table is read once: counts by primary key are summed up by history key.
+    """
+    opened = F.count_if(_is_open(df)) if hk else F.lit(0)
+    keyed = df.groupBy(*pk).agg(F.count("*").alias("_times"), opened.alias("_open"))
+    found = {ROW_COUNT: F.count("*") == 0, DUPLICATES: F.count_if(F.col("_times") > 1)}
+    if hk:
+        keyed = keyed.groupBy(*hk).agg(
+            F.count_if(F.col("_times") > 1).alias("_twice"),
+            F.sum("_open").alias("_open"),
+        )
+        found = {
+            ROW_COUNT: F.count("*") == 0,
+            DUPLICATES: F.coalesce(F.sum("_twice"), F.lit(0)),
+            OPEN_HISTORY: F.count_if(F.col("_open") > 1),
+        }
+    totals = keyed.agg(*[value.cast("long").alias(name) for name, value in found.items()])
+    pairs = F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n_failed")) for c in found])
     return totals.select(F.inline(pairs)).select(
         "check", (F.col("n_failed") == 0).alias("result"), "n_failed"
     )
@@ -165,10 +179,11 @@ def check_suite(
     there is one and the target is a history. Blocked, there are none.
     """
     history = bool(pk and hk) and target_type is TargetType.HISTORY
-    if history:  # read by two aggregations, and often the result of a long plan
+    within = history and set(hk) <= set(pk)
+    if history and not within:  # read by two aggregations, and often the result of a long plan
         df = stage(df.select(*dict.fromkeys([*pk, *hk, EFFECTIVE_TO])), "checked")
-    checks = _keyed_checks(df, pk) if pk else check_row_count(df)
-    if history:
+    checks = _keyed_checks(df, pk, hk if within else ()) if pk else check_row_count(df)
+    if history and not within:
         checks = checks.unionByName(check_open_history(df, hk))
     if blocked:
         checks = checks.limit(0)

@@ -28,7 +28,7 @@ ROWS_PER_TASK = 4_000_000
 #: them on the driver. Segments keep to ``ROWS_PER_TASK`` for 4 * 10^11 rows of hot keys.
 MAX_SEGMENTS = 200_000
 
-KEY, SEGMENT, TIE = "_key", "_segment", "_tie"
+KEY, SEGMENT, TIE, HOT = "_key", "_segment", "_tie", "_hot"
 
 
 def sort_columns(order: Sequence[OrderKey | str], reverse: bool = False) -> list[Column]:
@@ -79,11 +79,13 @@ def spread_hot_keys(
     keys, hot_rows = hot_keys(df, partition, limit)
     if keys is None:
         return [(df, list(partition))]
-    rows, listed = stage(df, "windowed").alias("rows"), broadcast_if_small(keys).alias("hot")
-    on = null_safe_on("rows", "hot", partition)
-    cold = rows.join(listed, on, "left_anti")
+    # One pass over the input writes hot and cold rows apart.
+    joined = df.alias("rows").join(broadcast_if_small(keys).alias("hot"), null_safe_on("rows", "hot", partition), "left")
+    marked = joined.select("rows.*", KEY, F.col(KEY).isNotNull().cast("int").alias(HOT))
+    rows = stage(marked, "windowed", [HOT])
+    cold = rows.where(F.col(HOT) == 0).drop(KEY, HOT)
     segments = min(max(2, 2 * hot_rows // limit), MAX_SEGMENTS)
-    hot = rows.join(listed, on).select("rows.*", KEY, F.monotonically_increasing_id().alias(TIE))
+    hot = rows.where(F.col(HOT) == 1).drop(HOT).withColumn(TIE, F.monotonically_increasing_id())
     hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order), F.col(TIE))
     hot = stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments")
     return [(cold, list(partition)), (hot, [KEY, SEGMENT])]

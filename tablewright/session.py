@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +55,7 @@ def filesystem(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise ``df`` as a transient table in the shared folder.
 
     Use it where a result is read more than once or has to stay the same across
@@ -63,5 +64,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
