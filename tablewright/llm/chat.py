@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.llm.frames import fresh_name
 TURNS = "array<struct<role:string,text:string>>"
 LEARNED = "assistant"
 #: Turns whose places are summed up together.
@@ -153,24 +154,33 @@ def unescape(text: Column) -> Column:
 
 
 def canonical(records: DataFrame, record: str, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
-    """``records`` with ``layout`` and ``turns``, by the fingerprint of column ``record``: a struct, or JSON."""
+    """``records`` with ``layout`` and ``turns``, by the fingerprint of column ``record``: a struct, or JSON.
+
+    Columns of the records that have these names already are replaced.
+    """
     column, kind = F.col(f"`{record}`"), records.schema[record].dataType
     native = isinstance(kind, T.StructType)
+    whole, mark = fresh_name(records, "_parsed"), fresh_name(records, "_print")
     if native:
         # One schema holds for all rows, so only the layouts that fit it can be read from them.
         fitting = [layout for layout in layouts if _shape(layout.fields) == _declared(kind)]
-        rows = records.withColumn("_parsed", column).withColumn("_print", F.when(column.isNotNull(), fingerprint(F.lit(_declared(kind)))))
+        declared = F.when(column.isNotNull(), fingerprint(F.lit(_declared(kind))))
+        rows = records.withColumn(whole, column).withColumn(mark, declared)
     else:
         # What is long enough for the parser's limits and gives null is parsed again by the function that fails.
         parsed = F.coalesce(F.try_parse_json(column), F.when(F.octet_length(column) >= PARSED_BYTES, F.parse_json(column)))
         fitting = layouts
-        rows = records.withColumn("_parsed", parsed).withColumn("_print", fingerprint(shape(F.col("_parsed"))))
+        rows = records.withColumn(whole, parsed).withColumn(mark, fingerprint(shape(F.col(whole))))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in reversed(fitting):
-        own = F.col("_print") == fingerprint(F.lit(_shape(layout.fields)))
+        own = F.col(mark) == fingerprint(F.lit(_shape(layout.fields)))
         name = F.when(own, layout.name).otherwise(name)
-        turns = F.when(own, _turns(layout, F.col("_parsed"), native)).otherwise(turns)
-    return rows.select(*records.columns, name.alias("layout"), turns.alias("turns"))
+        turns = F.when(own, _turns(layout, F.col(whole), native)).otherwise(turns)
+    return rows.select(*_without(records, "layout", "turns"), name.alias("layout"), turns.alias("turns"))
+
+
+def _without(df: DataFrame, *names: str) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
 
 
 def _running(first: Column, sizes: Column) -> Column:
@@ -190,7 +200,7 @@ def _starts(sizes: Column) -> Column:
 
 
 def formatted(rows: DataFrame, turns: str = "turns") -> DataFrame:
-    """``rows`` with the text ``formatted`` and its ``loss_mask`` (spans in characters)."""
+    """``rows`` with the text ``formatted`` and its ``loss_mask`` (spans in characters), in place of columns so called."""
     head, tail = f"{BOS}{OPEN} ", EOS
     middle = f" {CLOSE} "
     piece = F.transform(
@@ -201,13 +211,14 @@ def formatted(rows: DataFrame, turns: str = "turns") -> DataFrame:
             (t["role"] == LEARNED).alias("learned"),
         ),
     )
-    rows = rows.withColumn("_pieces", piece)
-    whole = F.array_join(F.transform("_pieces", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
-    sizes = F.transform("_pieces", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(tail)).cast("long"))
-    rows = rows.withColumn("_starts", _starts(sizes))
+    given, pieces, places = _without(rows, "formatted", "loss_mask"), fresh_name(rows, "_pieces"), fresh_name(rows, "_starts")
+    rows = rows.withColumn(pieces, piece)
+    whole = F.array_join(F.transform(pieces, lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
+    sizes = F.transform(pieces, lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(tail)).cast("long"))
+    rows = rows.withColumn(places, _starts(sizes))
     spans = F.zip_with(
-        "_pieces",
-        "_starts",
+        pieces,
+        places,
         lambda p, at: F.struct(
             (at + F.length(p["head"])).alias("start"),
             (at + F.length(p["head"]) + F.length(p["body"])).alias("end"),
@@ -215,9 +226,7 @@ def formatted(rows: DataFrame, turns: str = "turns") -> DataFrame:
         ),
     )
     learned = F.transform(F.filter(spans, lambda s: s["learned"]), lambda s: F.struct(s["start"], s["end"]))
-    return rows.select(
-        *[c for c in rows.columns if c not in ("_pieces", "_starts")], whole.alias("formatted"), learned.alias("loss_mask")
-    )
+    return rows.select(*given, whole.alias("formatted"), learned.alias("loss_mask"))
 
 
 def read_back(formatted_text: Column) -> Column:

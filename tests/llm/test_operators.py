@@ -365,6 +365,19 @@ def test_layouts(spark):
         assert turns is None or [tuple(t) for t in found[i]["turns"]] == turns
 
 
+def test_chat_columns_of_the_same_names(spark):
+    names = ("_parsed", "_print", "_pieces", "_starts", "layout", "turns", "Formatted", "loss_mask", "a.b")
+    given = spark.createDataFrame([('{"prompt": "p", "response": "r"}', *names), (None, *names), ("", *names)], ["record", *names])
+    done = chat.formatted(chat.canonical(given, "record"))
+    kept = [c for c in names if c.lower() not in ("layout", "turns", "formatted", "loss_mask")]
+    assert done.columns == ["record", *kept, "layout", "turns", "formatted", "loss_mask"]
+    found = {r["record"]: r for r in done.collect()}
+    assert all(r[c] == c for r in found.values() for c in kept)
+    first = found['{"prompt": "p", "response": "r"}']
+    assert [tuple(t) for t in first["turns"]] == [("user", "p"), ("assistant", "r")] and len(first["loss_mask"]) == 1
+    assert found[None]["turns"] is None and found[None]["formatted"] is None
+
+
 def test_empty_tables(docs, labels):
     none = docs.limit(0)
     bench = none.select(F.col("doc_id").alias("item_id"), "text")
