@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.llm.frames import fresh_name
+
 TURNS = "array<struct<role:string,text:string>>"
 LEARNED = "assistant"
 #: Turns whose places are summed up together.
