@@ -36,19 +36,26 @@ def _left_operands(on: Sequence[Condition], right_alias: str) -> list[str] | Non
 
 
 def _has_equality(on: Sequence[Condition], right_alias: str) -> bool:
-    """Whether an equality holds between both sides in every pair that the chain joins."""
+    """Whether an equality holds between both sides in every pair that the chain joins.
 
-    def across(condition: Condition) -> bool:
+    That is one in all alternatives of the chain, with the same operands: Spark takes it
+    out of them and joins by it, and compares the rest within equal values.
+    """
+
+    def across(condition: Condition) -> frozenset[str] | None:
         sides = [_sides(o, right_alias) for o in condition.fields]
-        return condition.operator.strip() == "=" and sorted(map(tuple, sides)) == [("left",), ("right",)]
+        if condition.operator.strip() == "=" and sorted(map(tuple, sides)) == [("left",), ("right",)]:
+            return frozenset(o.strip() for o in condition.fields)
+        return None
 
-    ties = [(c.connective or "and").lower() for c in on]
-    alternatives: list[list[bool]] = [[]]
-    for position, (condition, tie) in enumerate(zip(on, ties)):
+    alternatives: list[set[frozenset[str] | None]] = [set()]
+    for position, condition in enumerate(on):
+        tie = (condition.connective or "and").lower()
         if tie == "or" and position:
-            alternatives.append([])
-        alternatives[-1].append(tie != "not" and across(condition))
-    return all(any(terms) for terms in alternatives) and len(alternatives) == 1
+            alternatives.append(set())
+        if tie != "not":
+            alternatives[-1].add(across(condition))
+    return bool(set.intersection(*alternatives) - {None})
 
 
 def _guarded(right: DataFrame, join: Join, alias: str) -> DataFrame:

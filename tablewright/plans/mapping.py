@@ -108,8 +108,9 @@ class Condition:
 class Join:
     """A join of a mapping.
 
-    Without an equality between both sides, every pair of rows is compared. That is done
-    when the right side has been measured to be small; ``unbounded`` allows it for any size.
+    Without an equality between both sides, the same one in all alternatives of an ``or``,
+    every pair of rows is compared. That is done when the right side has been measured to be
+    small; ``unbounded`` allows it for any size.
     """
 
     right: str

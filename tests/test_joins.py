@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.joins import anti_join, apply_joins, tracked_rows
 from tablewright.plans.mapping import Condition, Join
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,30 @@ def test_anti_and_tracked(left, right):
     assert rows(anti_join(left, right, ["k"])) == [(5, "e"), (None, "d")]
     doubled = right.unionAll(right)
     assert rows(tracked_rows(left, doubled, ["k"])) == [(1, "a"), (1, "b"), (2, "c")]
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "full"])
+def test_an_equality_in_all_alternatives_joins_a_large_right_side(left, right, how, monkeypatch):
+    monkeypatch.setattr("tablewright.operators.joins.fits_broadcast", lambda df: False)
+    on = [
+        Condition(["src.k", "r.k"]),
+        Condition(["src.l", "'a'"]),
+        Condition(["r.k", " src.k"], "=", "or"),
+        Condition(["r.r", "'y'"]),
+        Condition(["src.k", "r.k"], "=", "or"),
+        Condition(["src.l", "r.r"], "=", "and"),
+    ]
+    joined = apply_joins(left, [Join("r", on, how)], {"r": right})
+    expected = left.alias("a").join(right.alias("b"), F.expr("a.k = b.k and (l = 'a' or r = 'y' or l = r)"), how)
+    assert rows(joined, "src.k", "l", "r.k", "r") == rows(expected, "a.k", "l", "b.k", "r")
+    assert "NestedLoop" not in plan(joined) and "Cartesian" not in plan(joined)
+
+
+@pytest.mark.parametrize(
+    "second",
+    [Condition(["src.l", "r.r"], "=", "or"), Condition(["src.k", "r.k"], ">", "or"), Condition(["src.l", "'a'"], "=", "or")],
+)
+def test_a_large_right_side_without_an_equality_in_all_alternatives_fails(left, right, second, monkeypatch):
+    monkeypatch.setattr("tablewright.operators.joins.fits_broadcast", lambda df: False)
+    with pytest.raises(ValueError, match="no equality"):
+        apply_joins(left, [Join("r", [Condition(["src.k", "r.k"]), second], "inner")], {"r": right})
