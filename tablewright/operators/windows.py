@@ -2,8 +2,8 @@
 
 A window partition is one task, so a key with a third of all rows would put a
 third of the work there. Rows of such hot keys are therefore range-partitioned
-on (key, order) into *segments* and staged. Window functions then run per
-(key, segment), and what crosses a segment border comes from a small table with
+and sorted on (key, order), cut into *segments* and staged. Window functions then run
+per (key, segment), and what crosses a segment border comes from a small table with
 one row per (key, segment). All other keys take the ordinary window.
 """
 
@@ -21,12 +21,12 @@ from tablewright.operators.sizing import broadcast_if_small, null_safe_on
 from tablewright.plans.mapping import OrderKey
 from tablewright.session import stage
 
-#: Rows of one key that a single task may be given.
+#: Rows of one key that a window may be given, and rows that a task should sort.
 ROWS_PER_TASK = 4_000_000
 
-#: Most segments the hot keys are cut into together, as Spark samples every one of
-#: them on the driver. Segments keep to ``ROWS_PER_TASK`` for 4 * 10^11 rows of hot keys.
-MAX_SEGMENTS = 200_000
+#: Most tasks that sort the rows of hot keys, as Spark samples every one of them on the
+#: driver. Tasks keep to ``ROWS_PER_TASK`` for 4 * 10^11 rows; segments keep to it always.
+MAX_TASKS = 200_000
 
 KEY, SEGMENT, TIE, HOT = "_key", "_segment", "_tie", "_hot"
 
@@ -74,6 +74,9 @@ def spread_hot_keys(
     every segment holds a contiguous run of a key. Rows that tie are told apart by
     a number of their own, so a run of ties is cut as well. The part is staged, so
     that the cut is the same for all that is computed from it; so is ``df``.
+
+    A task sorts a range of rows and cuts it into segments by place. The tasks, of
+    which the driver hears, so follow from the rows, not from ``rows_per_task``.
     """
     limit = rows_per_task or ROWS_PER_TASK
     keys, hot_rows = hot_keys(df, partition, limit)
@@ -84,10 +87,13 @@ def spread_hot_keys(
     marked = joined.select("rows.*", KEY, F.col(KEY).isNotNull().cast("int").alias(HOT))
     rows = stage(marked, "windowed", [HOT])
     cold = rows.where(F.col(HOT) == 0).drop(KEY, HOT)
-    segments = min(max(2, 2 * hot_rows // limit), MAX_SEGMENTS)
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(max(2, 2 * hot_rows // limit), max(shuffled, 2 * hot_rows // ROWS_PER_TASK), MAX_TASKS)
     hot = rows.where(F.col(HOT) == 1).drop(HOT).withColumn(TIE, F.monotonically_increasing_id())
-    hot = hot.repartitionByRange(segments, F.col(KEY), *sort_columns(order), F.col(TIE))
-    hot = stage(hot.withColumn(SEGMENT, F.spark_partition_id()), "segments")
+    total = [F.col(KEY), *sort_columns(order), F.col(TIE)]
+    hot = hot.repartitionByRange(tasks, *total).sortWithinPartitions(*total)
+    # Places begin at a multiple of 2^33 in every task, so tasks have no segment in common.
+    hot = stage(hot.withColumn(SEGMENT, F.expr(f"monotonically_increasing_id() div {int(limit)}")), "segments")
     return [(cold, list(partition)), (hot, [KEY, SEGMENT])]
 
 

@@ -93,3 +93,16 @@ def test_ties_are_cut_and_keep_their_rank(spark):
     same_rows(analytic(df, "rank", None, ["k"], ["day"], name="x", rows_per_task=1000), expected)
     numbers = analytic(df, "row_number", None, ["k"], ["day"], name="x", rows_per_task=1000)
     assert numbers.agg(F.countDistinct("x"), F.max("x")).first()[:] == (20_000, 20_000)
+
+
+def test_tasks_do_not_grow_with_the_number_of_segments(spark):
+    """A small limit gives many segments, not a task, a file and a sample on the driver for each."""
+    df = spark.range(4_000).select((F.col("id") % 2).alias("k"), (F.col("id") % 7).alias("day"), "id")
+    part = spread_hot_keys(df, ["k"], [OrderKey("day")], rows_per_task=50)[1][0]
+    assert part.count() == 4_000
+    assert len(part.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    segments = part.groupBy("_key", "_segment").agg(F.count("*").alias("n"))
+    assert segments.count() >= 80 and segments.agg(F.max("n")).first()[0] <= 50
+    for kind, column, order in (("rank", None, ["day"]), ("lag", "id", ["day", "id"])):
+        expected = analytic(df, kind, column, ["k"], order, 3, name="x")
+        same_rows(analytic(df, kind, column, ["k"], order, 3, name="x", rows_per_task=50), expected)
