@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -5,6 +7,7 @@ from pyspark.sql import types as T
 from tablewright.operators import windows
 from tablewright.operators.windows import analytic, spread_hot_keys
 from tablewright.plans.mapping import OrderKey
+from tablewright.session import shared_dir
 from tests.helpers import plan, same_rows, skewed
 
 
@@ -106,3 +109,16 @@ def test_tasks_do_not_grow_with_the_number_of_segments(spark):
     for kind, column, order in (("rank", None, ["day"]), ("lag", "id", ["day", "id"])):
         expected = analytic(df, kind, column, ["k"], order, 3, name="x")
         same_rows(analytic(df, kind, column, ["k"], order, 3, name="x", rows_per_task=50), expected)
+
+
+def test_windows_in_turn_stage_few_files_each(spark):
+    """Every window over the result of another stages its segments; none has a file for each of them."""
+    folders = f"{shared_dir(spark).removeprefix('file:')}/segments-*"
+    before = set(glob.glob(folders))
+    found = expected = spark.range(1_500).select((F.col("id") % 2).alias("k"), (-F.col("id")).alias("at"))
+    for kind, column in (("lag", "at"), ("lead", "at"), ("row_number", None)):
+        found = analytic(found, kind, column, ["k"], ["at"], 2, name=kind, rows_per_task=40)
+        expected = analytic(expected, kind, column, ["k"], ["at"], 2, name=kind)
+    same_rows(found, expected)
+    staged = [len(glob.glob(f"{f}/*.parquet")) for f in set(glob.glob(folders)) - before]
+    assert len(staged) == 3 and max(staged) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
